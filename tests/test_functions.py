@@ -98,7 +98,7 @@ def test_amounts_print_as_written(rows):
     values = ["50.00", "50", "-6.5", "0.125", "-0.50", "12.1234567"]
     shown = apply(rows, lambda c: numbers.as_written(numbers.to_decimal(c), numbers.decimals_in(c)), values)
     assert shown == ["50.00", "50", "-6.5", "0.125", "-0.50", "12.123457"]
-    assert apply(rows, lambda c: numbers.as_written(numbers.to_decimal(c), numbers.decimals_in(c)), ["1e3"]) == ["1000.00"]
+    assert apply(rows, lambda c: numbers.as_written(numbers.to_decimal(c), numbers.decimals_in(c)), ["1e3"]) == ["1000.000000"]
 
 
 def test_tolerance_is_strict(rows):

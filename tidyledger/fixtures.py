@@ -32,8 +32,8 @@ def _pick(n: Column, *choices: str | None) -> Column:
 
 def _variants(df: DataFrame, *conditions: Column) -> DataFrame:
     """Row variants: 0 for the row itself, i for each condition i that holds."""
-    kinds = F.array(F.lit(0), *[F.when(c, F.lit(i)) for i, c in enumerate(conditions, 1)])
-    return df.withColumn("variant", F.explode(F.array_compact(kinds)))
+    kinds = F.concat(F.array(F.lit(0)), *[F.when(c, F.array(F.lit(i))).otherwise(F.array().cast("array<int>")) for i, c in enumerate(conditions, 1)])
+    return df.withColumn("variant", F.explode(kinds))
 
 
 def _raw(df: DataFrame, table: str) -> DataFrame:

@@ -19,13 +19,14 @@ EXACT = "decimal(38,18)"
 TOLERANCE = Decimal("0.01")
 
 
-def _digits(c: Column) -> Column:
+def digits(c: Column) -> Column:
+    """A number as written: stripped, without digit underscores."""
     return F.replace(strip(c), F.lit("_"), F.lit(""))
 
 
 def to_decimal(c: Column, kind: str = WORKING) -> Column:
     """Signs, exponents and digit underscores are accepted; ``$36``, ``1,000``, nan and inf are not."""
-    return _digits(c).try_cast(kind)
+    return digits(c).try_cast(kind)
 
 
 def to_int(c: Column) -> Column:
@@ -45,13 +46,10 @@ def disagree(a: Column, b: Column) -> Column:
 
 
 def decimals_in(c: Column) -> Column:
-    """Decimal places as written in the source (0 to 6); exponent notation counts as two."""
-    text = _digits(c)
-    dot = F.instr(text, ".")
-    return (
-        F.when(F.lower(text).contains("e"), F.lit(2))
-        .when(dot == 0, F.lit(0))
-        .otherwise(F.least(F.length(text) - dot, F.lit(6)))
+    """Decimal places as written in the source (0 to 6); exponent notation shows all six."""
+    text = digits(c)
+    return F.when(text.rlike("[eE]"), F.lit(6)).otherwise(
+        F.least(F.length(F.regexp_extract(text, r"\.(\d+)$", 1)), F.lit(6))
     )
 
 

@@ -20,7 +20,7 @@ MISSING = "<missing>"
 
 def strip(c: Column) -> Column:
     """Remove whitespace of any kind from both ends (Spark's own trim removes spaces only)."""
-    return F.trim(c, F.lit(WHITESPACE))
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def stripped_or_null(c: Column) -> Column:
@@ -40,8 +40,8 @@ def message(template: str, **fields: Column) -> Column:
         if literal:
             parts.append(F.lit(literal))
         if name is not None:
-            parts.append(F.coalesce(fields[name].cast("string"), F.lit(MISSING)))
-    return F.concat(*parts)
+            parts.append(fields[name].cast("string"))
+    return F.array_join(F.array(*parts), "", MISSING)
 
 
 def full_name(first: Column, last: Column) -> Column:

@@ -7,11 +7,12 @@ with a year are month-first):
     yyyy/M/d H:m:s    yyyy/M/d H:m     yyyy/M/d
     M/d/yyyy H:m      M/d/yyyy         M-d-yyyy H:m     M-d-yyyy
 
-Each value is matched against three shapes, rewritten to year-month-day order and cast once, so no value runs
-through a list of parsers and none costs an exception. Values outside these shapes reach a second, rarely
-evaluated branch: ISO with a fraction, an offset or no seconds, AM/PM, dotted dates, day-first dates whose
-first number exceeds 12, compact dates, and English month names. Offsets are dropped: the wall-clock time as
-written is kept. Forms that would need today's date to fill a gap (a bare time, a bare month) are not accepted.
+A value in one of these shapes is put in year-month-day order and cast once; nothing runs through a list of
+parsers and a bad value costs no exception. Anything else passes through a chain of rewrites, each of which
+leaves text it does not match alone. The chain also accepts ISO with a fraction, an offset or no seconds, AM/PM,
+dotted dates, day-first dates whose first number exceeds 12, compact dates, and English month names. Offsets
+are dropped: the wall-clock time as written is kept. Forms that would need today's date to fill a gap (a bare
+time, a bare month) are not accepted.
 """
 
 from __future__ import annotations
@@ -21,91 +22,70 @@ from pyspark.sql import functions as F
 
 from tidyledger.functions.text import strip
 
-# The feed's shapes. Month-first dates need a month of 1 to 12.
-_TIME = r" \d{1,2}:\d{1,2}"
-_DASHED = rf"(?i)^(?!0000)\d{{4}}-\d{{1,2}}-\d{{1,2}}(?:T\d{{1,2}}:\d{{1,2}}:\d{{1,2}}Z?|{_TIME}(?::\d{{1,2}})?)?$"
-_SLASHED = rf"^(?!0000)\d{{4}}/\d{{1,2}}/\d{{1,2}}(?:{_TIME}(?::\d{{1,2}})?)?$"
-_MONTH_FIRST = rf"^(0?[1-9]|1[0-2])([-/])(\d{{1,2}})\2(?!0000)(\d{{4}})({_TIME})?$"
+_DATE = r"\d{4}-\d{1,2}-\d{1,2}"
+_CLOCK = r"\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,9})?)?"
+
+#: Shapes Spark's own cast reads as they are.
+_READY = r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}(?:T\d{1,2}:\d{1,2}:\d{1,2}Z?| \d{1,2}:\d{1,2}(?::\d{1,2})?)?$"
+
+#: The feed's other shapes, one rewrite each.
+_SLASHED = r"^(?!0000)\d{4}/\d{1,2}/\d{1,2}(?: \d{1,2}:\d{1,2}(?::\d{1,2})?)?$"
+_MONTH_FIRST = r"^(0?[1-9]|1[0-2])([-/])(\d{1,2})\2(?!0000)(\d{4})( \d{1,2}:\d{1,2})?$"
+
+#: Rewrites towards ``y-m-d h:m:s``, applied in order; one that does not match leaves the text alone.
+_NUMERIC = (
+    (r"^(0?[1-9]|1[0-2])([-/.])(\d{1,2})\2(\d{4})(?!\d)", "$4-$1-$3"),
+    (r"^(1[3-9]|[23]\d)([-/.])(\d{1,2})\2(\d{4})(?!\d)", "$4-$3-$1"),
+    (r"^(\d{4})([/.])(\d{1,2})\2(\d{1,2})(?!\d)", "$1-$3-$4"),
+    (r"(?i)^(\d{4})(\d{2})(\d{2})(?=$|T\d{4}|\d{4}$|\d{6}$)", "$1-$2-$3 "),
+    (r"(?i)^(\S+) T?(\d{2})(\d{2})$", "$1 $2:$3"),
+    (r"(?i)^(\S+) T?(\d{2})(\d{2})(\d{2})$", "$1 $2:$3:$4"),
+    (rf"(?i)^({_DATE})(?:T|,?\s+)(?=\d)", "$1 "),
+)
 
-# Month names, long and short, and the position of their first letters.
+# Month names, long and short.
 _MONTHS = (
-    "jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|"
-    "sep(?:t|tember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?"
+    "jan(?:uary)?", "feb(?:ruary)?", "mar(?:ch)?", "apr(?:il)?", "may", "june?", "july?", "aug(?:ust)?",
+    "sep(?:t|tember)?", "oct(?:ober)?", "nov(?:ember)?", "dec(?:ember)?",
 )
-_MONTH_LETTERS = "janfebmaraprmayjunjulaugsepoctnovdec"
-
-# Shapes outside the feed. The last group of each date pattern is the optional time of day.
-_YEAR = r"(?!0000)(\d{4})"
-_DAY_TIME = (
-    r"(?:(?:T|,?\s+)(\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,9})?)?(?:\s*[AP]M)?)\s*"
-    r"(?:Z|UTC|GMT|[+-]\d{2}:?\d{2})?)?$"
+_WORDS = (
+    (r"(?i)\s*(?:UTC|GMT)$", ""),
+    *((rf"(?i)^{name}\.?\s+(\d{{1,2}}),?\s+(\d{{4}})(?!\d)", f"$2-{i}-$1") for i, name in enumerate(_MONTHS, 1)),
+    *((rf"(?i)^(\d{{1,2}})[\s-]{name}\.?,?[\s-](\d{{4}})(?!\d)", f"$2-{i}-$1") for i, name in enumerate(_MONTHS, 1)),
+    # Twelve-hour clock: the hour is rewritten, an hour outside 1 to 12 keeps its AM or PM and fails below.
+    (r"(?i)([\sT])12(:[\d:.]+)\s*AM$", "$1 0$2"),
+    (r"(?i)([\sT]0?[1-9]|[\sT]1[01])(:[\d:.]+)\s*AM$", "$1$2"),
+    (r"(?i)([\sT]12)(:[\d:.]+)\s*PM$", "$1$2"),
+    *((rf"(?i)([\sT])0?{h}(:[\d:.]+)\s*PM$", f"$1{h + 12}$2") for h in range(1, 12)),
 )
-_ANY_YEAR_FIRST = rf"(?i)^{_YEAR}([-/.])(\d{{1,2}})\2(\d{{1,2}}){_DAY_TIME}"
-_ANY_MONTH_FIRST = rf"(?i)^(0?[1-9]|1[0-2])([-/.])(\d{{1,2}})\2{_YEAR}{_DAY_TIME}"
-_ANY_DAY_FIRST = rf"(?i)^(1[3-9]|[23]\d)([-/.])(\d{{1,2}})\2{_YEAR}{_DAY_TIME}"
-_COMPACT = rf"(?i)^{_YEAR}(\d{{2}})(\d{{2}})$"
-_COMPACT_TIME = rf"(?i)^{_YEAR}(\d{{2}})(\d{{2}})T?(\d{{2}})(\d{{2}})$"
-_COMPACT_SECONDS = rf"(?i)^{_YEAR}(\d{{2}})(\d{{2}})T?(\d{{2}})(\d{{2}})(\d{{2}})$"
-_NAME_FIRST = rf"(?i)^({_MONTHS})\.?\s+(\d{{1,2}}),?\s+{_YEAR}{_DAY_TIME}"
-_NAME_SECOND = rf"(?i)^(\d{{1,2}})[\s-]({_MONTHS})\.?,?[\s-]{_YEAR}{_DAY_TIME}"
-
-_HALF_DAY = r"(?i)^(\S+) (0?[1-9]|1[0-2])(:.*?)\s*([AP]M)$"
-
-
-def _unusual(s: Column) -> Column:
-    """Shapes outside the feed rewritten as ``y-m-d time``; the time keeps a trailing AM or PM."""
-
-    def rewrite(pattern: str, order: str) -> tuple[Column, Column]:
-        return s.rlike(pattern), F.regexp_replace(s, pattern, order)
-
-    def named(pattern: str, name: int, day: int) -> tuple[Column, Column]:
-        letters = F.lower(F.substring(F.regexp_extract(s, pattern, name), 1, 3))
-        month = ((F.instr(F.lit(_MONTH_LETTERS), letters) + 2) / 3).cast("int").cast("string")
-        return s.rlike(pattern), F.concat(
-            F.regexp_replace(s, pattern, "$3-"), month, F.regexp_replace(s, pattern, f"-${day} $4")
-        )
-
-    cases = [
-        rewrite(_ANY_YEAR_FIRST, "$1-$3-$4 $5"),
-        rewrite(_ANY_MONTH_FIRST, "$4-$1-$3 $5"),
-        rewrite(_ANY_DAY_FIRST, "$4-$3-$1 $5"),
-        rewrite(_COMPACT, "$1-$2-$3"),
-        rewrite(_COMPACT_TIME, "$1-$2-$3 $4:$5"),
-        rewrite(_COMPACT_SECONDS, "$1-$2-$3 $4:$5:$6"),
-        named(_NAME_FIRST, 1, 2),
-        named(_NAME_SECOND, 2, 1),
-    ]
-    out = F.when(*cases[0])
-    for shape, text in cases[1:]:
-        out = out.when(shape, text)
-    return out
-
-
-def _half_day(text: Column) -> Column:
-    """``d h:m PM`` with the hour on the 24-hour clock; an hour outside 1 to 12 stays and fails to parse."""
-    hour = F.regexp_extract(text, _HALF_DAY, 2).try_cast("int") % 12
-    afternoon = F.when(F.upper(F.regexp_extract(text, _HALF_DAY, 4)) == "PM", 12).otherwise(0)
-    return F.when(
-        text.rlike(_HALF_DAY),
-        F.concat(
-            F.regexp_extract(text, _HALF_DAY, 1),
-            F.lit(" "),
-            (hour + afternoon).cast("string"),
-            F.regexp_extract(text, _HALF_DAY, 3),
-        ),
-    ).otherwise(text)
+
+#: Only values of these kinds are worth rewriting; plain junk is given up at once.
+_HAS_WORDS = rf"(?i)^(?=.*\d{{4}})(?:{'|'.join(_MONTHS)})\b|(?i)^\d+[\s-](?:{'|'.join(_MONTHS)})\b|(?i)^\d.*(?:[AP]M|UTC|GMT)$"
+_HAS_NUMBERS = r"(?i)^\d{1,4}[-/.]\d{1,2}[-/.]\d{1,4}(?!\d)|^\d{8}(?:T?\d{4,6})?$"
+
+#: What must be left after the rewrites; the offset is not part of the value.
+_RESULT = rf"(?i)^((?!0000){_DATE}(?: {_CLOCK}(?=\s*(?:Z|[+-]\d{{2}}:?\d{{2}})?$))?)(?:\s*$|\s*Z$|\s*[+-][\d:]+$)"
+
+
+def _rewrite(s: Column, rules: tuple[tuple[str, str], ...]) -> Column:
+    """Apply the rules in order. Folding over them as data keeps the generated code of a query small."""
+    table = F.array(*[F.struct(F.lit(p).alias("pattern"), F.lit(t).alias("text")) for p, t in rules])
+    return F.aggregate(table, s, lambda text, rule: F.regexp_replace(text, rule["pattern"], rule["text"]))
 
 
 def parse_timestamp(c: Column) -> Column:
     """Timestamp without zone, NULL when the value is missing or does not parse."""
     s = strip(c)
-    feed = (
-        F.when(s.rlike(_DASHED), s)
-        .when(s.rlike(_SLASHED), F.replace(s, F.lit("/"), F.lit("-")))
+    unusual = F.when(s.rlike(_HAS_WORDS), _rewrite(s, _WORDS + _NUMERIC)).when(
+        s.rlike(_HAS_NUMBERS), _rewrite(s, _NUMERIC)
+    )
+    ready = (
+        F.when(s.rlike(_READY), s)
+        .when(s.rlike(_SLASHED), F.translate(s, "/", "-"))
         .when(s.rlike(_MONTH_FIRST), F.regexp_replace(s, _MONTH_FIRST, "$4-$1-$3$5"))
+        .otherwise(F.regexp_extract(unusual, _RESULT, 1))
     )
-    known = F.upper(feed).try_cast("timestamp_ntz")
-    return F.coalesce(known, F.when(feed.isNull(), _half_day(_unusual(s)).try_cast("timestamp_ntz")))
+    return ready.try_cast("timestamp_ntz")
 
 
 def parse_date(c: Column) -> Column:

@@ -64,7 +64,8 @@ def registry(spark: SparkSession) -> DataFrame:
 def load_registry(spark: SparkSession, path: str) -> DataFrame:
     """Rules from a CSV (rule_id, dataset, rule_description, severity), each with its action.
 
-    Raises ValueError when the file and the actions do not name the same rules.
+    Raises ValueError when the file and the actions do not name the same rules, or a rule names a dataset its
+    check does not read.
     """
     from tidyledger.functions.text import strip
 
@@ -76,6 +77,9 @@ def load_registry(spark: SparkSession, path: str) -> DataFrame:
     problems = drift(rules, actions(spark)).limit(len(RULES) + 1).collect()
     if problems:
         raise ValueError("rules and actions differ: " + ", ".join(f"{r.rule_id} {r.problem}" for r in problems))
+    moved = rules.join(registry(spark).select("rule_id", "dataset"), ["rule_id", "dataset"], "left_anti").collect()
+    if moved:
+        raise ValueError("rules on another dataset than their check: " + ", ".join(r.rule_id for r in moved))
     return rules.join(F.broadcast(actions(spark)), "rule_id")
 
 

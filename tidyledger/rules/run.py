@@ -17,24 +17,25 @@ from tidyledger.schemas import EXCEPTIONS, conform
 
 
 def find_violations(stg: Staging, wanted: Collection[str] = RULE_IDS) -> DataFrame:
-    """(rule_id, record_key, issue_description) of the wanted rules, tables scanned once where rules allow."""
+    """(rule_id, record_key, issue_description, dataset) of the wanted rules, tables scanned once where rules allow."""
     unknown = set(wanted) - set(RULE_IDS)
     if unknown or not wanted:
         raise ValueError(f"rules must be a non-empty part of {RULE_IDS}, not {sorted(wanted)}")
-    pieces: list[DataFrame] = []
+    pieces: list[tuple[str, DataFrame]] = []
     if "DQ001" in wanted:
-        pieces.append(v.customer_duplicates(stg))
+        pieces.append(("customers", v.customer_duplicates(stg)))
     if {"DQ002", "DQ003"} & set(wanted):
-        pieces.append(v.customer_rows(stg, wanted))
+        pieces.append(("customers", v.customer_rows(stg, wanted)))
     if "DQ004" in wanted:
-        pieces.append(v.order_duplicates(stg))
+        pieces.append(("orders", v.order_duplicates(stg)))
     if {"DQ005", "DQ006", "DQ007", "DQ008"} & set(wanted):
-        pieces.append(v.order_rows(stg, wanted))
+        pieces.append(("orders", v.order_rows(stg, wanted)))
     if {"DQ009", "DQ010"} & set(wanted):
-        pieces.append(v.payment_rows(stg, wanted))
+        pieces.append(("payments", v.payment_rows(stg, wanted)))
     if {"DQ011", "DQ012"} & set(wanted):
-        pieces.append(v.ticket_rows(stg, wanted))
-    return reduce(DataFrame.unionByName, pieces)
+        pieces.append(("support_tickets", v.ticket_rows(stg, wanted)))
+    # A literal per branch lets a filter on dataset remove the other branches from the plan.
+    return reduce(DataFrame.unionByName, [df.withColumn("dataset", F.lit(name)) for name, df in pieces])
 
 
 def run_rules(
@@ -50,7 +51,8 @@ def run_rules(
     if moment.tzinfo is not None:
         moment = moment.astimezone(timezone.utc).replace(tzinfo=None)
     # The registry holds one row per rule of this module, so its broadcast cannot grow with the data.
-    report = found.join(F.broadcast(rules), "rule_id").withColumn(
+    known = rules.select("rule_id", "severity", "suggested_action")
+    report = found.join(F.broadcast(known), "rule_id").withColumn(
         "detected_at", F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
     )
     return conform(report, EXCEPTIONS)

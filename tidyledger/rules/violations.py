@@ -26,18 +26,24 @@ VIOLATION_COLUMNS = ("rule_id", "record_key", "issue_description")
 
 
 def _expand(df: DataFrame, key: str, issues: Mapping[str, Column], *carry: str) -> DataFrame:
-    """One output row per rule whose message is not NULL."""
+    """One output row per rule whose message is not NULL.
+
+    Messages are filtered after they are expanded: a filter on them any earlier would be pushed towards the
+    scan and evaluate every parsing expression a second time.
+    """
     messages = df.select(F.col(key).alias("record_key"), *carry, *[m.alias(r) for r, m in issues.items()])
-    found = F.coalesce(*[F.col(r) for r in issues]).isNotNull()
     pairs = F.array(*[F.struct(F.lit(r).alias("rule_id"), F.col(r).alias("issue_description")) for r in issues])
     return (
-        messages.filter(found)
-        .select("record_key", *carry, F.inline(pairs))
+        messages.select("record_key", *carry, F.inline(pairs))
         .filter(F.col("issue_description").isNotNull())
         .select(*VIOLATION_COLUMNS, *carry)
     )
 
 
+def _chosen(issues: Mapping[str, Column], wanted: Collection[str]) -> dict[str, Column]:
+    return {rule: text for rule, text in issues.items() if rule in wanted}
+
+
 def _only(rule_id: str, key: Column, text: Column) -> list[Column]:
     return [F.lit(rule_id).alias("rule_id"), key.alias("record_key"), text.alias("issue_description")]
 
@@ -56,14 +62,13 @@ def _email_issue() -> Column:
 
 
 def _geography_issue() -> Column:
-    country, state = F.col("country"), F.col("state")
     # NULL when nothing is wrong, so concat_ws leaves the part out.
     parts = [
-        F.when(strip(raw) != standard, message(name + " '{raw}' standardized to '{std}'", raw=raw, std=standard))
-        for name, raw, standard in (
-            ("country", country, standardize_country(country)),
-            ("state", state, standardize_state(state)),
+        F.when(
+            strip(F.col(name)) != F.col(f"standard_{name}"),
+            message(name + " '{raw}' standardized to '{std}'", raw=F.col(name), std=F.col(f"standard_{name}")),
         )
+        for name in ("country", "state")
     ]
     detail = F.concat_ws("; ", *parts)
     return F.when(
@@ -74,8 +79,14 @@ def _geography_issue() -> Column:
 
 def customer_rows(stg: Staging, wanted: Collection[str]) -> DataFrame:
     """DQ002 and DQ003: both need nothing but the row."""
+    typed = stg.customers.withColumns(
+        {
+            "standard_country": standardize_country(F.col("country")),
+            "standard_state": standardize_state(F.col("state")),
+        }
+    )
     issues = {"DQ002": _email_issue(), "DQ003": _geography_issue()}
-    return _expand(stg.customers, "customer_id", {r: m for r, m in issues.items() if r in wanted})
+    return _expand(typed, "customer_id", _chosen(issues, wanted))
 
 
 def customer_duplicates(stg: Staging) -> DataFrame:
@@ -128,10 +139,7 @@ def prices(products: DataFrame) -> DataFrame:
 def _order_issues() -> dict[str, Column]:
     key = F.col("order_id")
     customer, product, raw_qty = F.col("customer_id"), F.col("product_id"), F.col("quantity")
-    qty = numbers.to_int(raw_qty)
-    total = numbers.to_decimal(F.col("order_total"))
-    price = numbers.to_decimal(F.col("unit_price"))
-    calculated = qty * price
+    qty, total, calculated = F.col("qty"), F.col("total"), F.col("calculated")
     price_places = numbers.decimals_in(F.col("unit_price"))
     total_places = numbers.decimals_in(F.col("order_total"))
     return {
@@ -172,7 +180,7 @@ def _order_issues() -> dict[str, Column]:
             message(
                 "order_id={record_key}: order_total={total} vs quantity*unit_price={calculated} (diff={diff}).",
                 record_key=key,
-                total=numbers.as_written(total, total_places),
+                total=numbers.digits(F.col("order_total")),
                 calculated=numbers.as_written(calculated, price_places),
                 diff=numbers.as_written(total - calculated, F.greatest(total_places, price_places)),
             ),
@@ -187,31 +195,54 @@ def order_rows(stg: Staging, wanted: Collection[str]) -> DataFrame:
         df = df.join(known_keys(stg.customers, "customer_id", "customer_known"), "customer_id", "left")
     if {"DQ006", "DQ008"} & set(wanted):
         df = df.join(prices(stg.products), "product_id", "left")
-    return _expand(df, "order_id", {r: m for r, m in _order_issues().items() if r in wanted})
+    # Parsed once here; the rules refer to each number several times.
+    df = df.withColumns(
+        {"qty": numbers.to_int(F.col("quantity")), "total": numbers.to_decimal(F.col("order_total"))}
+    )
+    if "DQ008" in wanted:
+        df = df.withColumn("calculated", F.col("qty") * numbers.to_decimal(F.col("unit_price")))
+    return _expand(df, "order_id", _chosen(_order_issues(), wanted))
 
 
 # --- payments --------------------------------------------------------------------------------------------
 
 
-def payment_rows(stg: Staging, wanted: Collection[str]) -> DataFrame:
-    """DQ009 and DQ010 from one left join of payments to orders.
-
-    Orders are first counted per (order_id, completed total), so repeated rows of an order join once and their
-    number is applied afterwards. An unmatched payment comes out as exactly one row, which is what DQ009 needs.
-    """
+def completed_totals(stg: Staging) -> DataFrame:
+    """Orders without identical repeats, counted per (order_id, completed, order_total of completed orders)."""
     is_completed = same_word(F.col("order_status"), "completed")
-    totals = (
+    return (
         stg.kept_orders.filter(F.col("order_id").isNotNull())
-        .select("order_id", F.when(is_completed, F.col("order_total")).alias("order_total"), is_completed.alias("completed"))
+        .select(
+            "order_id",
+            is_completed.alias("completed"),
+            F.when(is_completed, F.col("order_total")).alias("order_total"),
+        )
         .groupBy("order_id", "completed", "order_total")
         .agg(F.count(F.lit(1)).alias("times"))
     )
+
+
+def known_orders(stg: Staging) -> DataFrame:
+    """The same columns when only membership matters; identical repeats cannot change it."""
+    return known_keys(stg.orders, "order_id", "completed").withColumns(
+        {"order_total": F.lit(None).cast("string"), "times": F.lit(1).cast("bigint")}
+    )
+
+
+def payment_rows(stg: Staging, wanted: Collection[str]) -> DataFrame:
+    """DQ009 and DQ010 from one left join of payments to orders.
+
+    Orders are counted first, so repeated rows of an order join once and their number is applied afterwards. An
+    unmatched payment comes out as exactly one row, which is what DQ009 needs.
+    """
+    totals = completed_totals(stg) if "DQ010" in wanted else known_orders(stg)
     paid = stg.payments.select("payment_id", "order_id", "payment_status", "amount")
-    joined = paid.join(totals, "order_id", "left")
+    joined = paid.join(totals, "order_id", "left").withColumns(
+        {"paid": numbers.to_decimal(F.col("amount")), "total": numbers.to_decimal(F.col("order_total"))}
+    )
 
     key, order = F.col("payment_id"), F.col("order_id")
-    amount = numbers.to_decimal(F.col("amount"))
-    total = numbers.to_decimal(F.col("order_total"))
+    amount, total = F.col("paid"), F.col("total")
     amount_places = numbers.decimals_in(F.col("amount"))
     total_places = numbers.decimals_in(F.col("order_total"))
     issues = {
@@ -228,13 +259,13 @@ def payment_rows(stg: Staging, wanted: Collection[str]) -> DataFrame:
             message(
                 "payment_id={record_key}: settled payment {amount} != completed order total {total} (diff={diff}).",
                 record_key=key,
-                amount=numbers.as_written(amount, amount_places),
-                total=numbers.as_written(total, total_places),
+                amount=numbers.digits(F.col("amount")),
+                total=numbers.digits(F.col("order_total")),
                 diff=numbers.as_written(total - amount, F.greatest(amount_places, total_places)),
             ),
         ),
     }
-    found = _expand(joined, "payment_id", {r: m for r, m in issues.items() if r in wanted}, "times")
+    found = _expand(joined, "payment_id", _chosen(issues, wanted), "times")
     return repeat_rows(found.withColumn("times", F.coalesce("times", F.lit(1))), "times")
 
 
@@ -261,4 +292,4 @@ def ticket_rows(stg: Staging, wanted: Collection[str]) -> DataFrame:
             message("ticket_id={record_key}: customer_id '{id}' not found in customers.", record_key=key, id=customer),
         ),
     }
-    return _expand(df, "ticket_id", {r: m for r, m in issues.items() if r in wanted})
+    return _expand(df, "ticket_id", _chosen(issues, wanted))
