@@ -147,8 +147,8 @@ def test_strip_removes_what_python_strips(rows):
 
 
 def test_text_helpers(rows):
-    assert apply(rows, lambda c: text.message("k={k}: '{v}'!", k=c, v=F.lit("x")), ["a", None]) == [
-        "k=a: 'x'!", "k=<missing>: 'x'!",
+    assert apply(rows, lambda c: text.message("k={k}: '{v}'!", k="v", v="i + 1"), ["a", None]) == [
+        "k=a: '1'!", "k=<missing>: '2'!",
     ]
     long = "x" * 121
     cells = apply(rows, text.table_cell, ["a|b", "x" * 120, long, None])

@@ -25,7 +25,7 @@ from tidyledger.sources.raw import read_sources, row_counts
 
 def land(tables: Mapping[str, DataFrame], out: str) -> Staging:
     """Write the raw tables and the orders without identical repeats."""
-    stg = Staging.of({name: write_table(df, f"{out}/raw/{name}") for name, df in tables.items()})
+    stg = Staging({name: write_table(df, f"{out}/raw/{name}") for name, df in tables.items()})
     return stg.with_orders_distinct(write_table(stg.kept_orders, f"{out}/staged/orders_distinct"))
 
 

@@ -1,13 +1,14 @@
 """Raw-shaped feeds with seeded defects, derived by Spark from the star-schema tables.
 
 Every row of the base table is used once; the copies that seed duplicates are added to it. See FIXTURES.md for
-the rules in words; the oracle states them again in SQL.
+the rules in words; the oracle states them again in DuckDB's SQL.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from functools import partial
+
+from pyspark.sql import DataFrame, SparkSession
 
 from tidyledger.rules.staging import Staging
 from tidyledger.schemas import RAW_COLUMNS, SOURCE_ROW
@@ -17,195 +18,151 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _text(c: Column) -> Column:
-    return c.cast("string")
-
-
-def _pick(n: Column, *choices: str | None) -> Column:
+def _pick(n: str, *choices: str | None) -> str:
     """choices[n % len(choices)]"""
-    k = n % F.lit(len(choices))
-    out = F.when(k == 0, F.lit(choices[0]))
-    for i, choice in enumerate(choices[1:], 1):
-        out = out.when(k == i, F.lit(choice))
-    return out.cast("string")
+    values = ", ".join("NULL" if c is None else f"'{c}'" for c in choices)
+    return f"elt(cast({n} % {len(choices)} as int) + 1, {values})"
 
 
-def _variants(df: DataFrame, *conditions: Column) -> DataFrame:
-    """Row variants: 0 for the row itself, i for each condition i that holds."""
-    kinds = F.concat(F.array(F.lit(0)), *[F.when(c, F.array(F.lit(i))).otherwise(F.array().cast("array<int>")) for i, c in enumerate(conditions, 1)])
-    return df.withColumn("variant", F.explode(kinds))
+def _variants(*conditions: str) -> str:
+    """0 for the row itself and i for each condition i that holds."""
+    extra = "".join(f", if({c}, array({i}), array())" for i, c in enumerate(conditions, 1))
+    return f"explode(concat(array(0){extra})) AS variant"
 
 
-def _raw(df: DataFrame, table: str) -> DataFrame:
-    return df.select(*RAW_COLUMNS[table], F.col(SOURCE_ROW).cast("bigint").alias(SOURCE_ROW))
+def _raw(df: DataFrame, table: str, columns: dict[str, str]) -> DataFrame:
+    assert (*columns,) == (*RAW_COLUMNS[table], SOURCE_ROW)
+    return df.selectExpr(*[f"{expr} AS {name}" for name, expr in columns.items()])
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("p_partkey")
-    df = _read(spark, sf_dir, "part").select(
-        F.concat(F.lit("P"), _text(k)).alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category"),
-        _text(F.col("p_retailprice").cast("decimal(12,2)")).alias("unit_price"),
-        F.when(k % 10 == 0, "N")
-        .when(k % 10 == 1, " yes ")
-        .when(k % 31 == 5, F.lit(None))
-        .otherwise("Y")
-        .alias("active_flag"),
-        k.alias(SOURCE_ROW),
+    return _raw(
+        _read(spark, sf_dir, "part"),
+        "products",
+        {
+            "product_id": "concat('P', p_partkey)",
+            "product_name": "p_name",
+            "category": "p_type",
+            "unit_price": "cast(cast(p_retailprice AS decimal(12,2)) AS string)",
+            "active_flag": "CASE WHEN p_partkey % 10 = 0 THEN 'N' WHEN p_partkey % 10 = 1 THEN ' yes ' "
+            "WHEN p_partkey % 31 = 5 THEN NULL ELSE 'Y' END",
+            "source_row": "p_partkey",
+        },
     )
-    return _raw(df, "products")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k, n = F.col("c_custkey"), F.col("c_nationkey")
-    person = F.when(k % 97 == 1, k - 1).otherwise(k)
-    clash = F.col("variant") == 1
-    rows = _variants(_read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), k % 50 == 7)
-    day = _pick(k, "2025-01-04", "01/12/2025", "2025/01/14", "03-06-2025", "2025-13-40")
-    df = rows.select(
-        F.concat(F.lit("C"), _text(k)).alias("customer_id"),
-        F.concat(F.lit("First"), _text(person % 50)).alias("first_name"),
-        F.concat(F.lit("Last"), _text(person)).alias("last_name"),
-        F.when(clash, F.concat(F.lit("alt"), _text(k), F.lit("@example.com")))
-        .when(k % 13 == 5, F.lit(None))
-        .when(k % 13 == 6, "  ")
-        .when(k % 19 == 4, F.concat(F.lit("bad.."), _text(k), F.lit("@x.com")))
-        .when(k % 17 == 2, F.concat(F.lit(" U"), _text(k), F.lit("@Example.COM ")))
-        .otherwise(F.concat(F.lit("u"), _text(k), F.lit("@example.com")))
-        .alias("email"),
-        F.when(person % 11 != 3, F.concat(F.lit("555-"), _text(person))).alias("phone"),
-        _pick(k, "US", "United States", "u.s.a.", "Canada", "USA ", "USA").alias("country"),
-        F.when(clash, "NY")
-        .otherwise(_pick(n, "IL", "Illinois", "ca", "New York", " TX ", "Texas", "Ontario", None, "FL"))
-        .alias("state"),
-        day.alias("signup_date"),
-        _pick(k, "Gold", "Silver", "Bronze").alias("loyalty_tier"),
-        (k * 2 + F.col("variant")).alias(SOURCE_ROW),
+    rows = _read(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS k",
+        "c_nationkey AS n",
+        "if(c_custkey % 97 = 1, c_custkey - 1, c_custkey) AS person",
+        _variants("c_custkey % 50 = 7"),
+    )
+    return _raw(
+        rows,
+        "customers",
+        {
+            "customer_id": "concat('C', k)",
+            "first_name": "concat('First', person % 50)",
+            "last_name": "concat('Last', person)",
+            "email": "CASE WHEN variant = 1 THEN concat('alt', k, '@example.com') WHEN k % 13 = 5 THEN NULL "
+            "WHEN k % 13 = 6 THEN '  ' WHEN k % 19 = 4 THEN concat('bad..', k, '@x.com') "
+            "WHEN k % 17 = 2 THEN concat(' U', k, '@Example.COM ') ELSE concat('u', k, '@example.com') END",
+            "phone": "if(person % 11 = 3, NULL, concat('555-', person))",
+            "country": _pick("k", "US", "United States", "u.s.a.", "Canada", "USA ", "USA"),
+            "state": "if(variant = 1, 'NY', "
+            + _pick("n", "IL", "Illinois", "ca", "New York", " TX ", "Texas", "Ontario", None, "FL")
+            + ")",
+            "signup_date": _pick("k", "2025-01-04", "01/12/2025", "2025/01/14", "03-06-2025", "2025-13-40"),
+            "loyalty_tier": _pick("k", "Gold", "Silver", "Bronze"),
+            "source_row": "k * 2 + variant",
+        },
     )
-    return _raw(df, "customers")
 
 
 def _order_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order with the price of the part that carries the customer's number (all parts exist)."""
-    part = _read(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("o_custkey"), F.col("p_retailprice").cast("decimal(12,2)").alias("price")
+    part = _read(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS c", "cast(p_retailprice AS decimal(12,2)) AS price"
     )
-    orders = _read(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("o"),
-        "o_custkey",
-        F.col("o_orderstatus").alias("status"),
-        F.substring(_text(F.col("o_orderdate")), 1, 10).alias("d"),
+    orders = _read(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS o", "o_custkey AS c", "o_orderstatus AS status", "left(cast(o_orderdate AS string), 10) AS d"
     )
-    return orders.join(part, "o_custkey")
+    return orders.join(part, "c")
 
 
-def _status(o: Column) -> Column:
-    return (
-        F.when(F.col("status") == "F", "completed")
-        .when((F.col("status") == "O") & (o % 10 == 0), " Completed ")
-        .when(F.col("status") == "O", "returned")
-        .otherwise("cancelled")
-    )
-
-
-def _total(o: Column) -> Column:
-    units = F.when(o % 5 == 0, 2).otherwise(o % 5).cast("int")
-    extra = F.when(o % 101 == 0, 6).otherwise(0)
-    return F.when(o % 103 == 7, "n/a").otherwise(
-        _text((F.col("price") * units + extra).cast("decimal(12,2)"))
-    )
+_TOTAL = (
+    "if(o % 103 = 7, 'n/a', cast(cast(price * cast(if(o % 5 = 0, 2, o % 5) AS int) + if(o % 101 = 0, 6, 0) "
+    "AS decimal(12,2)) AS string))"
+)
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o, c, d, variant = F.col("o"), F.col("o_custkey"), F.col("d"), F.col("variant")
-    rows = _variants(_order_base(spark, sf_dir), o % 61 == 0, (o % 67 == 1) & (c % 7).isin(0, 1))
-    y, m, dd = F.substring(d, 1, 4), F.substring(d, 6, 2), F.substring(d, 9, 2)
-    shape = o % 7
-    moment = (
-        F.when(shape == 0, F.concat(d, F.lit(" 10:15:00")))
-        .when(shape == 1, F.concat(m, F.lit("/"), dd, F.lit("/"), y, F.lit(" 14:20")))
-        .when(shape == 2, F.concat(y, F.lit("/"), m, F.lit("/"), dd, F.lit(" 09:00")))
-        .when(shape == 3, F.concat(d, F.lit("T16:45:00Z")))
-        .when(shape == 4, F.concat(d, F.lit(" 11:30")))
-        .when(shape == 5, F.concat(m, F.lit("-"), dd, F.lit("-"), y, F.lit(" 16:30")))
-        .when(o % 301 == 6, "bad_timestamp")
-        .otherwise(d)
-    )
-    df = rows.select(
-        F.concat(F.lit("O"), _text(o)).alias("order_id"),
-        F.when(o % 89 == 0, "C-1").otherwise(F.concat(F.lit("C"), _text(c))).alias("customer_id"),
-        moment.alias("order_ts"),
-        F.when(o % 83 == 1, "P-1").otherwise(F.concat(F.lit("P"), _text(c))).alias("product_id"),
-        F.when(o % 71 == 2, "-1")
-        .when(o % 73 == 3, F.lit(None))
-        .when(o % 79 == 4, "1.5")
-        .when(o % 5 == 0, "2.0")
-        .otherwise(_text(o % 5))
-        .alias("quantity"),
-        _status(o).alias("order_status"),
-        F.when(variant == 2, _pick(c, "NV", "Nevada", "", "", "", "", ""))
-        .otherwise(_pick(c, "IL", "Illinois", "ca", "Texas", "WA", None, "Florida"))
-        .alias("shipping_state"),
-        _total(o).alias("order_total"),
-        (o * 4 + variant).alias(SOURCE_ROW),
+    rows = _order_base(spark, sf_dir).selectExpr("*", _variants("o % 61 = 0", "o % 67 = 1 AND c % 7 IN (0, 1)"))
+    us_date = "substr(d, 6, 2), '{0}', right(d, 2), '{0}', left(d, 4)"
+    return _raw(
+        rows,
+        "orders",
+        {
+            "order_id": "concat('O', o)",
+            "customer_id": "if(o % 89 = 0, 'C-1', concat('C', c))",
+            "order_ts": "CASE o % 7 WHEN 0 THEN concat(d, ' 10:15:00') "
+            f"WHEN 1 THEN concat({us_date.format('/')}, ' 14:20') WHEN 2 THEN concat(replace(d, '-', '/'), ' 09:00') "
+            "WHEN 3 THEN concat(d, 'T16:45:00Z') WHEN 4 THEN concat(d, ' 11:30') "
+            f"WHEN 5 THEN concat({us_date.format('-')}, ' 16:30') ELSE if(o % 301 = 6, 'bad_timestamp', d) END",
+            "product_id": "if(o % 83 = 1, 'P-1', concat('P', c))",
+            "quantity": "CASE WHEN o % 71 = 2 THEN '-1' WHEN o % 73 = 3 THEN NULL WHEN o % 79 = 4 THEN '1.5' "
+            "WHEN o % 5 = 0 THEN '2.0' ELSE cast(o % 5 AS string) END",
+            "order_status": "CASE WHEN status = 'F' THEN 'completed' WHEN status = 'O' AND o % 10 = 0 THEN ' Completed ' "
+            "WHEN status = 'O' THEN 'returned' ELSE 'cancelled' END",
+            "shipping_state": "if(variant = 2, if(c % 7 = 0, 'NV', 'Nevada'), "
+            + _pick("c", "IL", "Illinois", "ca", "Texas", "WA", None, "Florida")
+            + ")",
+            "order_total": _TOTAL,
+            "source_row": "o * 4 + variant",
+        },
     )
-    return _raw(df, "orders")
 
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One payment per order. A payment whose reference is lost or wrong leaves its order unpaid."""
-    o = F.col("o")
-    status = (
-        F.when(F.col("status") == "P", "voided")
-        .when((F.col("status") == "O") & (o % 20 == 0), " Settled ")
-        .when((F.col("status") == "O") & (o % 10 != 0), "refunded")
-        .otherwise("settled")
+    return _raw(
+        _order_base(spark, sf_dir),
+        "payments",
+        {
+            "payment_id": "concat('PMT', o)",
+            "order_id": "CASE WHEN o % 211 = 3 THEN 'O-1' WHEN o % 223 = 4 THEN NULL ELSE concat('O', o) END",
+            "payment_ts": "concat(d, ' 10:16')",
+            "payment_method": _pick("o", "card", "paypal", "apple_pay"),
+            "payment_status": "CASE WHEN status = 'P' THEN 'voided' WHEN status = 'O' AND o % 20 = 0 THEN ' Settled ' "
+            "WHEN status = 'O' AND o % 10 <> 0 THEN 'refunded' ELSE 'settled' END",
+            "amount": f"if(o % 107 = 0, '1.00', {_TOTAL})",
+            "source_row": "o",
+        },
     )
-    df = _order_base(spark, sf_dir).select(
-        F.concat(F.lit("PMT"), _text(o)).alias("payment_id"),
-        F.when(o % 211 == 3, "O-1")
-        .when(o % 223 == 4, F.lit(None))
-        .otherwise(F.concat(F.lit("O"), _text(o)))
-        .alias("order_id"),
-        F.concat(F.col("d"), F.lit(" 10:16")).alias("payment_ts"),
-        _pick(o, "card", "paypal", "apple_pay").alias("payment_method"),
-        status.alias("payment_status"),
-        F.when(o % 107 == 0, "1.00").otherwise(_total(o)).alias("amount"),
-        o.alias(SOURCE_ROW),
-    )
-    return _raw(df, "payments")
 
 
 def support_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e, user = F.col("event_id"), F.col("user_id")
-    df = _read(spark, sf_dir, "events").select(
-        F.concat(F.lit("T"), _text(e)).alias("ticket_id"),
-        F.when(e % 37 == 0, "C-1")
-        .when(e % 43 == 1, F.lit(None))
-        .otherwise(F.concat(F.lit("C"), _text(user)))
-        .alias("customer_id"),
-        F.when(e % 41 == 0, "bad_timestamp")
-        .when(e % 47 == 1, " ")
-        .otherwise(F.replace(F.substring(_text(F.col("ts")), 1, 19), F.lit(" "), F.lit("T")))
-        .alias("created_ts"),
-        _pick(e, "email", "chat", "phone").alias("channel"),
-        F.col("event_type").alias("category"),
-        F.when((F.col("event_type") == "error") & (user % 4 == 0), "Negative")
-        .when(F.col("event_type") == "signup", "positive")
-        .otherwise("neutral")
-        .alias("sentiment"),
-        F.col("props").alias("description"),
-        e.alias(SOURCE_ROW),
+    return _raw(
+        _read(spark, sf_dir, "events"),
+        "support_tickets",
+        {
+            "ticket_id": "concat('T', event_id)",
+            "customer_id": "CASE WHEN event_id % 37 = 0 THEN 'C-1' WHEN event_id % 43 = 1 THEN NULL "
+            "ELSE concat('C', user_id) END",
+            "created_ts": "CASE WHEN event_id % 41 = 0 THEN 'bad_timestamp' WHEN event_id % 47 = 1 THEN ' ' "
+            "ELSE replace(left(cast(ts AS string), 19), ' ', 'T') END",
+            "channel": _pick("event_id", "email", "chat", "phone"),
+            "category": "event_type",
+            "sentiment": "CASE WHEN event_type = 'error' AND user_id % 4 = 0 THEN 'Negative' "
+            "WHEN event_type = 'signup' THEN 'positive' ELSE 'neutral' END",
+            "description": "props",
+            "source_row": "event_id",
+        },
     )
-    return _raw(df, "support_tickets")
 
 
 def staging(spark: SparkSession, sf_dir: str) -> Staging:
-    return Staging(
-        customers=customers(spark, sf_dir),
-        products=products(spark, sf_dir),
-        orders=orders(spark, sf_dir),
-        payments=payments(spark, sf_dir),
-        support_tickets=support_tickets(spark, sf_dir),
-    )
+    """Feeds are set up when a rule or builder first asks for them."""
+    feeds = {f.__name__: f for f in (customers, products, orders, payments, support_tickets)}
+    return Staging({name: partial(feed, spark, sf_dir) for name, feed in feeds.items()})

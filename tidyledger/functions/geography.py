@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,14 +31,15 @@ def standardize_country(c: Column) -> Column:
     return F.when(F.lower(s).isin(*USA_SPELLINGS), F.lit("USA")).otherwise(s)
 
 
+_CODE_OF = "map({})".format(
+    ", ".join(f"'{text}', '{code}'" for name, code in STATE_CODES.items() for text in (name, code.lower()))
+)
+
+
 def standardize_state(c: Column) -> Column:
     """Codes in any case and full names become USPS codes; anything else passes through stripped."""
     s = stripped_or_null(c)
-    code_of_name = F.create_map(*[F.lit(x) for x in chain.from_iterable(STATE_CODES.items())])
-    return (
-        F.when(F.upper(s).isin(*STATE_CODES.values()), F.upper(s))
-        .otherwise(F.coalesce(F.try_element_at(code_of_name, F.lower(s)), s))
-    )
+    return F.coalesce(F.try_element_at(F.expr(_CODE_OF), F.lower(s)), s)
 
 
 def standardize_geo_columns(

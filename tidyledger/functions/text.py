@@ -33,15 +33,20 @@ def same_word(c: Column, word: str) -> Column:
     return F.coalesce(F.lower(strip(c)) == word, F.lit(False))
 
 
-def message(template: str, **fields: Column) -> Column:
-    """Fill a ``{name}`` template from columns; a missing value shows as ``<missing>``."""
-    parts: list[Column] = []
+def sql_text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def message(template: str, **fields: str) -> Column:
+    """Fill a ``{name}`` template from named columns; a missing value shows as ``<missing>``."""
+    parts: list[str] = []
     for literal, name, _, _ in string.Formatter().parse(template):
         if literal:
-            parts.append(F.lit(literal))
+            parts.append(sql_text(literal))
         if name is not None:
-            parts.append(fields[name].cast("string"))
-    return F.array_join(F.array(*parts), "", MISSING)
+            parts.append(f"cast({fields[name]} AS string)")
+    return F.expr(f"array_join(array({', '.join(parts)}), '', {sql_text(MISSING)})")
 
 
 def full_name(first: Column, last: Column) -> Column:

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidyledger.functions.text import strip
+from tidyledger.functions.text import sql_text, strip
 
 _DATE = r"\d{4}-\d{1,2}-\d{1,2}"
 _CLOCK = r"\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,9})?)?"
@@ -69,8 +69,10 @@ _RESULT = rf"(?i)^((?!0000){_DATE}(?: {_CLOCK}(?=\s*(?:Z|[+-]\d{{2}}:?\d{{2}})?$
 
 def _rewrite(s: Column, rules: tuple[tuple[str, str], ...]) -> Column:
     """Apply the rules in order. Folding over them as data keeps the generated code of a query small."""
-    table = F.array(*[F.struct(F.lit(p).alias("pattern"), F.lit(t).alias("text")) for p, t in rules])
-    return F.aggregate(table, s, lambda text, rule: F.regexp_replace(text, rule["pattern"], rule["text"]))
+    table = ", ".join(f"named_struct('pattern', {sql_text(p)}, 'text', {sql_text(t)})" for p, t in rules)
+    return F.aggregate(
+        F.expr(f"array({table})"), s, lambda text, rule: F.regexp_replace(text, rule["pattern"], rule["text"])
+    )
 
 
 def parse_timestamp(c: Column) -> Column:

@@ -248,18 +248,14 @@ def _best(df: DataFrame, value: str, *ties: str) -> Column:
 def finding_q1(q1: DataFrame) -> DataFrame:
     facts = q1.agg(
         F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum("completed_revenue"), F.lit(0)).alias("revenue"),
+        dollars(F.coalesce(F.sum("completed_revenue"), F.lit(0))).alias("revenue"),
         F.sum("completed_orders").alias("orders"),
         _best(q1, "completed_revenue", "month"),
-    )
+    ).withColumns({"month": month_label(F.col("best.month")), "peak": dollars(F.col("best.completed_revenue"))})
     text = message(
-        "Total completed revenue is {total} across {orders} orders. Peak month is {month} with {peak} "
+        "Total completed revenue is {revenue} across {orders} orders. Peak month is {month} with {peak} "
         "from {peak_orders} orders.",
-        total=dollars(F.col("revenue")),
-        orders=F.col("orders"),
-        month=month_label(F.col("best.month")),
-        peak=dollars(F.col("best.completed_revenue")),
-        peak_orders=F.col("best.completed_orders"),
+        revenue="revenue", orders="orders", month="month", peak="peak", peak_orders="best.completed_orders",
     )
     return _sentence(facts, "No completed orders with valid order dates were found.", text)
 
@@ -268,12 +264,10 @@ def finding_q2(q2: DataFrame) -> DataFrame:
     facts = q2.agg(F.count(F.lit(1)).alias("n"), _best(q2, "completed_value", "customer_key"))
     text = message(
         "Top customer is {key} ({name}, {state}) with {value} across {orders} completed orders.",
-        key=F.col("best.customer_key"),
-        name=F.col("best.full_name"),
-        state=F.col("best.standard_state"),
-        value=dollars(F.col("best.completed_value")),
-        orders=F.col("best.completed_orders"),
+        key="best.customer_key", name="best.full_name", state="best.standard_state", value="value",
+        orders="best.completed_orders",
     )
+    facts = facts.withColumn("value", dollars(F.col("best.completed_value")))
     return _sentence(facts, "No completed orders linked to valid customers were found.", text)
 
 
@@ -282,8 +276,8 @@ def finding_q3(q3: DataFrame) -> DataFrame:
     counted = q3.agg(F.count(F.lit(1)).alias("n"))
     first_keys = q3.select("order_key").orderBy("order_key").limit(KEYS_IN_SENTENCE)
     keys = first_keys.agg(F.array_join(F.array_sort(F.collect_list("order_key")), ", ").alias("keys"))
-    count = message("{n} distinct orders triggered at least one exception. ", n=F.col("n"))
-    listed = message("Affected order keys: {keys}.", keys=F.col("keys"))
+    count = message("{n} distinct orders triggered at least one exception. ", n="n")
+    listed = message("Affected order keys: {keys}.", keys="keys")
     text = F.concat(
         count,
         F.when(F.col("n") <= KEYS_IN_SENTENCE, listed).otherwise("Affected order keys are in q3_order_exceptions."),
@@ -296,10 +290,9 @@ def finding_q4(q4: DataFrame) -> DataFrame:
     facts = q4.agg(F.count(F.lit(1)).alias("n"), _best(q4, "completed_revenue", "state"))
     text = message(
         "Top revenue state is {state} with {value} from {orders} completed orders.",
-        state=F.col("best.state"),
-        value=dollars(F.col("best.completed_revenue")),
-        orders=F.col("best.completed_orders"),
+        state="best.state", value="value", orders="best.completed_orders",
     )
+    facts = facts.withColumn("value", dollars(F.col("best.completed_revenue")))
     return _sentence(facts, "No completed orders with a standardized shipping state were found.", text)
 
 
@@ -316,8 +309,6 @@ def finding_q5(q5: DataFrame) -> DataFrame:
     text = message(
         "Among {customers} customers with negative support tickets, {negative}% of their orders triggered "
         "exceptions, versus {other}% for customers without negative tickets.",
-        customers=F.col("customers"),
-        negative=F.round("negative", 1),
-        other=F.round("other", 1),
+        customers="customers", negative="round(negative, 1)", other="round(other, 1)",
     )
     return _sentence(facts, "No customer cohort comparison could be computed.", text)

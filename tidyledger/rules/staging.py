@@ -2,43 +2,63 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass, replace
+from collections.abc import Callable, Mapping
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
 from tidyledger.operators.dedup import exact_kept, key_losers
 
 
-@dataclass(frozen=True)
 class Staging:
-    """All-text raw tables with ``source_row``. Nothing here is computed until it is used."""
+    """All-text raw tables with ``source_row``, given as DataFrames or as functions that make them."""
 
-    customers: DataFrame
-    products: DataFrame
-    orders: DataFrame
-    payments: DataFrame
-    support_tickets: DataFrame
-    #: Orders without identical repeats. A batch run passes the table it wrote; otherwise it is derived.
-    orders_distinct: DataFrame | None = None
+    def __init__(
+        self,
+        tables: Mapping[str, DataFrame | Callable[[], DataFrame]],
+        orders_distinct: DataFrame | None = None,
+    ):
+        self._tables = dict(tables)
+        self._orders_distinct = orders_distinct
 
-    @classmethod
-    def of(cls, tables: Mapping[str, DataFrame]) -> Staging:
-        return cls(**tables)
+    def _table(self, name: str) -> DataFrame:
+        table = self._tables[name]
+        return table if isinstance(table, DataFrame) else table()
 
-    def with_orders_distinct(self, df: DataFrame) -> Staging:
-        return replace(self, orders_distinct=df)
+    @cached_property
+    def customers(self) -> DataFrame:
+        return self._table("customers")
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return self._table("products")
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return self._table("orders")
+
+    @cached_property
+    def payments(self) -> DataFrame:
+        return self._table("payments")
 
-    @property
+    @cached_property
+    def support_tickets(self) -> DataFrame:
+        return self._table("support_tickets")
+
+    @cached_property
     def kept_orders(self) -> DataFrame:
-        return self.orders_distinct if self.orders_distinct is not None else exact_kept(self.orders)
+        """Orders without identical repeats: the table a batch run wrote, or else derived here."""
+        return exact_kept(self.orders) if self._orders_distinct is None else self._orders_distinct
+
+    def with_orders_distinct(self, df: DataFrame) -> Staging:
+        return Staging(self._tables, df)
 
-    @property
+    @cached_property
     def customers_duplicates(self) -> DataFrame:
         """Customer rows after the first of their id."""
         return key_losers(self.customers, ["customer_id"])
 
-    @property
+    @cached_property
     def orders_duplicates(self) -> DataFrame:
         """Identical repeats and id collisions together: every order row after the first of its id."""
         return key_losers(self.orders, ["order_id"])

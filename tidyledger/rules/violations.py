@@ -52,12 +52,12 @@ def _only(rule_id: str, key: Column, text: Column) -> list[Column]:
 
 
 def _email_issue() -> Column:
-    key, raw = F.col("customer_id"), F.col("email")
+    raw = F.col("email")
     return F.when(
-        normalize_email(raw).isNull(), message("customer_id={record_key}: email is missing.", record_key=key)
+        normalize_email(raw).isNull(), message("customer_id={id}: email is missing.", id="customer_id")
     ).when(
         ~is_valid_email(raw),
-        message("customer_id={record_key}: email '{raw}' failed syntactic validation.", record_key=key, raw=raw),
+        message("customer_id={id}: email '{raw}' failed syntactic validation.", id="customer_id", raw="email"),
     )
 
 
@@ -66,15 +66,12 @@ def _geography_issue() -> Column:
     parts = [
         F.when(
             strip(F.col(name)) != F.col(f"standard_{name}"),
-            message(name + " '{raw}' standardized to '{std}'", raw=F.col(name), std=F.col(f"standard_{name}")),
+            message(name + " '{raw}' standardized to '{std}'", raw=name, std=f"standard_{name}"),
         )
         for name in ("country", "state")
     ]
     detail = F.concat_ws("; ", *parts)
-    return F.when(
-        detail != "",
-        message("customer_id={record_key}: {detail}.", record_key=F.col("customer_id"), detail=detail),
-    )
+    return F.when(detail != "", F.concat(message("customer_id={id}: ", id="customer_id"), detail, F.lit(".")))
 
 
 def customer_rows(stg: Staging, wanted: Collection[str]) -> DataFrame:
@@ -93,12 +90,13 @@ def customer_duplicates(stg: Staging) -> DataFrame:
     """DQ001: every row after the first of its customer_id."""
     losers = key_losers(stg.customers.select("customer_id", "email", SOURCE_ROW), ["customer_id"])
     text = message(
-        "Duplicate customer_id={record_key}; this row (email={email}) "
-        "was dropped in favour of the canonical first occurrence.",
-        record_key=F.col("customer_id"),
-        email=F.col("email"),
+        "Duplicate customer_id={id}; this row (email={email}) was dropped in favour of the canonical first occurrence.",
+        id="customer_id",
+        email="email",
+    )
+    return losers.select(
+        F.lit("DQ001").alias("rule_id"), F.col("customer_id").alias("record_key"), text.alias("issue_description")
     )
-    return losers.select(*_only("DQ001", F.col("customer_id"), text))
 
 
 # --- orders ----------------------------------------------------------------------------------------------
@@ -111,20 +109,17 @@ def order_duplicates(stg: Staging) -> DataFrame:
     """
     contents = stg.orders.groupBy(*RAW_COLUMNS["orders"]).agg(F.count(F.lit(1)).alias("copies"))
     per_id = contents.groupBy("order_id").agg(F.sum("copies").alias("n"), F.count(F.lit(1)).alias("g"))
-    key = F.col("order_id")
-    identical = message(
-        "Duplicate order_id={record_key}; identical row was dropped (no information lost).", record_key=key
-    )
+    identical = message("Duplicate order_id={id}; identical row was dropped (no information lost).", id="order_id")
     collision = message(
-        "Duplicate order_id={record_key}; later occurrence with different "
-        "attributes was dropped in favour of the canonical first row.",
-        record_key=key,
+        "Duplicate order_id={id}; later occurrence with different attributes was dropped in favour of the "
+        "canonical first row.",
+        id="order_id",
     )
     kinds = F.array(
         F.struct(identical.alias("issue_description"), (F.col("n") - F.col("g")).alias("times")),
         F.struct(collision.alias("issue_description"), (F.col("g") - 1).alias("times")),
     )
-    counted = per_id.filter(F.col("n") > 1).select(key.alias("record_key"), F.inline(kinds))
+    counted = per_id.filter(F.col("n") > 1).select(F.col("order_id").alias("record_key"), F.inline(kinds))
     rows = repeat_rows(counted, "times")
     return rows.select(F.lit("DQ004").alias("rule_id"), "record_key", "issue_description")
 
@@ -136,56 +131,35 @@ def prices(products: DataFrame) -> DataFrame:
     )
 
 
-def _order_issues() -> dict[str, Column]:
-    key = F.col("order_id")
-    customer, product, raw_qty = F.col("customer_id"), F.col("product_id"), F.col("quantity")
-    qty, total, calculated = F.col("qty"), F.col("total"), F.col("calculated")
+def _unknown_reference(owner: str, key: str, column: str, known: str, table: str) -> Column:
+    """Messages of a reference that is NULL or finds nothing; ``known`` is NULL after an unmatched lookup."""
+    missing = message(f"{owner}={{id}}: {column} is missing.", id=key)
+    unknown = message(f"{owner}={{id}}: {column} '{{ref}}' not found in {table}.", id=key, ref=column)
+    return F.when(F.col(column).isNull(), missing).when(F.col(known).isNull(), unknown)
+
+
+def _quantity_issue() -> Column:
+    bad = "order_id={id}: completed-order quantity "
+    missing = message(bad + "is missing.", id="order_id")
+    not_whole = message(bad + "'{raw}' is not a valid integer.", id="order_id", raw="quantity")
+    not_positive = message(bad + "{qty} is not positive.", id="order_id", qty="qty")
+    issue = F.when(F.col("quantity").isNull(), missing).when(F.col("qty").isNull(), not_whole)
+    return F.when(same_word(F.col("order_status"), "completed"), issue.when(F.col("qty") <= 0, not_positive))
+
+
+def _total_issue() -> Column:
     price_places = numbers.decimals_in(F.col("unit_price"))
-    total_places = numbers.decimals_in(F.col("order_total"))
-    return {
-        "DQ005": F.when(
-            customer.isNull(), message("order_id={record_key}: customer_id is missing.", record_key=key)
-        ).when(
-            F.col("customer_known").isNull(),
-            message("order_id={record_key}: customer_id '{id}' not found in customers.", record_key=key, id=customer),
-        ),
-        "DQ006": F.when(
-            product.isNull(), message("order_id={record_key}: product_id is missing.", record_key=key)
-        ).when(
-            F.col("product_known").isNull(),
-            message("order_id={record_key}: product_id '{id}' not found in products.", record_key=key, id=product),
-        ),
-        "DQ007": F.when(
-            same_word(F.col("order_status"), "completed"),
-            F.when(
-                raw_qty.isNull(), message("order_id={record_key}: completed-order quantity is missing.", record_key=key)
-            )
-            .when(
-                qty.isNull(),
-                message(
-                    "order_id={record_key}: completed-order quantity '{raw}' is not a valid integer.",
-                    record_key=key,
-                    raw=raw_qty,
-                ),
-            )
-            .when(
-                qty <= 0,
-                message(
-                    "order_id={record_key}: completed-order quantity {qty} is not positive.", record_key=key, qty=qty
-                ),
-            ),
-        ),
-        "DQ008": F.when(
-            numbers.disagree(total, calculated),
-            message(
-                "order_id={record_key}: order_total={total} vs quantity*unit_price={calculated} (diff={diff}).",
-                record_key=key,
-                total=numbers.digits(F.col("order_total")),
-                calculated=numbers.as_written(calculated, price_places),
-                diff=numbers.as_written(total - calculated, F.greatest(total_places, price_places)),
-            ),
-        ),
-    }
+    places = F.greatest(numbers.decimals_in(F.col("order_total")), price_places)
+    text = F.concat(
+        message("order_id={id}: order_total=", id="order_id"),
+        numbers.digits(F.col("order_total")),
+        F.lit(" vs quantity*unit_price="),
+        numbers.as_written(F.col("calculated"), price_places),
+        F.lit(" (diff="),
+        numbers.as_written(F.col("total") - F.col("calculated"), places),
+        F.lit(")."),
+    )
+    return F.when(numbers.disagree(F.col("total"), F.col("calculated")), text)
 
 
 def order_rows(stg: Staging, wanted: Collection[str]) -> DataFrame:
@@ -201,7 +175,13 @@ def order_rows(stg: Staging, wanted: Collection[str]) -> DataFrame:
     )
     if "DQ008" in wanted:
         df = df.withColumn("calculated", F.col("qty") * numbers.to_decimal(F.col("unit_price")))
-    return _expand(df, "order_id", _chosen(_order_issues(), wanted))
+    issues = {
+        "DQ005": _unknown_reference("order_id", "order_id", "customer_id", "customer_known", "customers"),
+        "DQ006": _unknown_reference("order_id", "order_id", "product_id", "product_known", "products"),
+        "DQ007": _quantity_issue(),
+        "DQ008": _total_issue(),
+    }
+    return _expand(df, "order_id", _chosen(issues, wanted))
 
 
 # --- payments --------------------------------------------------------------------------------------------
@@ -241,28 +221,29 @@ def payment_rows(stg: Staging, wanted: Collection[str]) -> DataFrame:
         {"paid": numbers.to_decimal(F.col("amount")), "total": numbers.to_decimal(F.col("order_total"))}
     )
 
-    key, order = F.col("payment_id"), F.col("order_id")
-    amount, total = F.col("paid"), F.col("total")
-    amount_places = numbers.decimals_in(F.col("amount"))
     total_places = numbers.decimals_in(F.col("order_total"))
+    places = F.greatest(numbers.decimals_in(F.col("amount")), total_places)
+    differs = F.concat(
+        message("payment_id={id}: settled payment ", id="payment_id"),
+        numbers.digits(F.col("amount")),
+        F.lit(" != completed order total "),
+        numbers.digits(F.col("order_total")),
+        F.lit(" (diff="),
+        numbers.as_written(F.col("total") - F.col("paid"), places),
+        F.lit(")."),
+    )
+    orphan = message(
+        "Orphan payment: order_id={order} not found in orders (payment_id={id}).", order="order_id", id="payment_id"
+    )
     issues = {
         "DQ009": F.when(
-            order.isNull(), message("payment_id={record_key}: payment order_id is missing.", record_key=key)
-        ).when(
-            F.col("times").isNull(),
-            message("Orphan payment: order_id={id} not found in orders (payment_id={record_key}).", record_key=key, id=order),
-        ),
+            F.col("order_id").isNull(), message("payment_id={id}: payment order_id is missing.", id="payment_id")
+        ).when(F.col("times").isNull(), orphan),
         "DQ010": F.when(
             same_word(F.col("payment_status"), "settled")
             & F.col("completed")
-            & numbers.disagree(total, amount),
-            message(
-                "payment_id={record_key}: settled payment {amount} != completed order total {total} (diff={diff}).",
-                record_key=key,
-                amount=numbers.digits(F.col("amount")),
-                total=numbers.digits(F.col("order_total")),
-                diff=numbers.as_written(total - amount, F.greatest(amount_places, total_places)),
-            ),
+            & numbers.disagree(F.col("total"), F.col("paid")),
+            differs,
         ),
     }
     found = _expand(joined, "payment_id", _chosen(issues, wanted), "times")
@@ -274,22 +255,17 @@ def payment_rows(stg: Staging, wanted: Collection[str]) -> DataFrame:
 
 def ticket_rows(stg: Staging, wanted: Collection[str]) -> DataFrame:
     """DQ011 and DQ012."""
-    key, created, customer = F.col("ticket_id"), F.col("created_ts"), F.col("customer_id")
     df = stg.support_tickets.select("ticket_id", "customer_id", "created_ts")
     if "DQ012" in wanted:
         df = df.join(known_keys(stg.customers, "customer_id", "customer_known"), "customer_id", "left")
+    created = F.col("created_ts")
     issues = {
         "DQ011": F.when(
-            is_blank(created), message("ticket_id={record_key}: created_ts is missing.", record_key=key)
+            is_blank(created), message("ticket_id={id}: created_ts is missing.", id="ticket_id")
         ).when(
             parse_timestamp(created).isNull(),
-            message("ticket_id={record_key}: created_ts failed to parse: '{raw}'.", record_key=key, raw=created),
-        ),
-        "DQ012": F.when(
-            customer.isNull(), message("ticket_id={record_key}: customer_id is missing.", record_key=key)
-        ).when(
-            F.col("customer_known").isNull(),
-            message("ticket_id={record_key}: customer_id '{id}' not found in customers.", record_key=key, id=customer),
+            message("ticket_id={id}: created_ts failed to parse: '{raw}'.", id="ticket_id", raw="created_ts"),
         ),
+        "DQ012": _unknown_reference("ticket_id", "ticket_id", "customer_id", "customer_known", "customers"),
     }
     return _expand(df, "ticket_id", _chosen(issues, wanted))

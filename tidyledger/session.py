@@ -20,6 +20,7 @@ def local_session(cores: int | str = "*", app: str = "tidyledger", memory: str =
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(n))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.warehouse.dir", os.path.join(tempfile.gettempdir(), "tidyledger-warehouse"))
         .getOrCreate()
     )
