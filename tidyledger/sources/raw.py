@@ -15,7 +15,7 @@ _FILE_BITS = 40
 _BAD_LINE = "_bad_line"
 
 
-def _stamp(df: DataFrame) -> DataFrame:
+def _stamp(df: DataFrame, path: str | list[str]) -> DataFrame:
     """Add ``source_row``: the file's rank by name, then block offset plus row number within the scan task.
 
     A row takes at least two bytes and a scan task reads at most one block's worth of bytes, so a row number
@@ -25,10 +25,11 @@ def _stamp(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     place = F.col("_metadata.file_block_start") + row_in_task
-    files = sorted(df.inputFiles())
-    if len(files) <= 1:
+    if len(df.inputFiles()) <= 1:
         return df.withColumn(SOURCE_ROW, place)
-    # One short row per input file: the listing Spark's driver already holds.
+    # File names only: the listing the driver already holds, in the spelling rows carry. Contents are not read.
+    listed = spark.read.format("binaryFile").load(path).select("_metadata.file_path")
+    files = sorted(row.file_path for row in listed.collect())
     ranks = spark.createDataFrame(list(zip(files, range(len(files)))), "_file string, _rank bigint")
     positioned = df.select("*", F.col("_metadata.file_path").alias("_file"), place.alias("_place"))
     known = F.coalesce(F.col("_rank"), F.raise_error(F.concat(F.lit("input file not listed: "), F.col("_file"))))
@@ -58,7 +59,7 @@ def read_csv(
     cells = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
     too_long = F.raise_error(F.concat(F.lit("CSV row with too many cells: "), F.col(_BAD_LINE)))
     first, *rest = schema.names
-    return _stamp(raw).select(
+    return _stamp(raw, path).select(
         F.when(cells > len(schema.names), too_long).otherwise(F.col(first)).cast("string").alias(first),
         *rest,
         SOURCE_ROW,
@@ -72,7 +73,7 @@ def read_jsonl(spark: SparkSession, path: str | list[str], columns: tuple[str, .
     read.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return _stamp(spark.read.schema(schema).option("mode", "FAILFAST").json(path))
+    return _stamp(spark.read.schema(schema).option("mode", "FAILFAST").json(path), path)
 
 
 # File name of each raw table.
