@@ -56,28 +56,30 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey AS k",
         "c_nationkey AS n",
         "if(c_custkey % 97 = 1, c_custkey - 1, c_custkey) AS person",
-        _variants("c_custkey % 50 = 7"),
     )
-    return _raw(
+    base = _raw(
         rows,
         "customers",
         {
             "customer_id": "concat('C', k)",
             "first_name": "concat('First', person % 50)",
             "last_name": "concat('Last', person)",
-            "email": "CASE WHEN variant = 1 THEN concat('alt', k, '@example.com') WHEN k % 13 = 5 THEN NULL "
+            "email": "CASE WHEN k % 13 = 5 THEN NULL "
             "WHEN k % 13 = 6 THEN '  ' WHEN k % 19 = 4 THEN concat('bad..', k, '@x.com') "
             "WHEN k % 17 = 2 THEN concat(' U', k, '@Example.COM ') ELSE concat('u', k, '@example.com') END",
             "phone": "if(person % 11 = 3, NULL, concat('555-', person))",
             "country": _pick("k", "US", "United States", "u.s.a.", "Canada", "USA ", "USA"),
-            "state": "if(variant = 1, 'NY', "
-            + _pick("n", "IL", "Illinois", "ca", "New York", " TX ", "Texas", "Ontario", None, "FL")
-            + ")",
+            "state": _pick("n", "IL", "Illinois", "ca", "New York", " TX ", "Texas", "Ontario", None, "FL"),
             "signup_date": _pick("k", "2025-01-04", "01/12/2025", "2025/01/14", "03-06-2025", "2025-13-40"),
             "loyalty_tier": _pick("k", "Gold", "Silver", "Bronze"),
-            "source_row": "k * 2 + variant",
+            "source_row": "k * 2",
         },
     )
+    k = "source_row div 2"
+    changed = {"email": f"if(variant = 1, concat('alt', {k}, '@example.com'), email)", "state": "if(variant = 1, 'NY', state)"}
+    return base.selectExpr("*", _variants(f"{k} % 50 = 7")).selectExpr(
+        *[f"{changed.get(c, c)} AS {c}" for c in RAW_COLUMNS["customers"]], "source_row + variant AS source_row"
+    )
 
 
 def _order_base(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,10 +100,9 @@ _TOTAL = (
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _order_base(spark, sf_dir).selectExpr("*", _variants("o % 61 = 0", "o % 67 = 1 AND c % 7 IN (0, 1)"))
     us_date = "substr(d, 6, 2), '{0}', right(d, 2), '{0}', left(d, 4)"
-    return _raw(
-        rows,
+    base = _raw(
+        _order_base(spark, sf_dir),
         "orders",
         {
             "order_id": "concat('O', o)",
@@ -115,13 +116,18 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
             "WHEN o % 5 = 0 THEN '2.0' ELSE cast(o % 5 AS string) END",
             "order_status": "CASE WHEN status = 'F' THEN 'completed' WHEN status = 'O' AND o % 10 = 0 THEN ' Completed ' "
             "WHEN status = 'O' THEN 'returned' ELSE 'cancelled' END",
-            "shipping_state": "if(variant = 2, if(c % 7 = 0, 'NV', 'Nevada'), "
-            + _pick("c", "IL", "Illinois", "ca", "Texas", "WA", None, "Florida")
-            + ")",
+            "shipping_state": _pick("c", "IL", "Illinois", "ca", "Texas", "WA", None, "Florida"),
             "order_total": _TOTAL,
-            "source_row": "o * 4 + variant",
+            "source_row": "o * 4",
         },
     )
+    o = "source_row div 4"
+    collides = f"{o} % 67 = 1 AND shipping_state IN ('IL', 'Illinois')"
+    variant_state = "if(variant = 2, if(shipping_state = 'IL', 'NV', 'Nevada'), shipping_state)"
+    return base.selectExpr("*", _variants(f"{o} % 61 = 0", collides)).selectExpr(
+        *[f"{variant_state} AS {c}" if c == "shipping_state" else c for c in RAW_COLUMNS["orders"]],
+        "source_row + variant AS source_row",
+    )
 
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
