@@ -145,6 +145,29 @@ def test_dq010(spark):
     assert sorted(r.rule_id for r in both) == ["DQ009", "DQ010", "DQ010", "DQ010"]
 
 
+def test_dq010_counts_where_an_order_id_has_many_totals(spark, monkeypatch):
+    from decimal import Decimal
+
+    from tidyledger.rules import violations
+
+    monkeypatch.setattr(violations, "MANY_TOTALS", 3)
+    totals = ["10.00", "10.005", "10.01", "10.02", "20", "n/a", "10.00", "9.99", "9.98"]
+    orders = [{"order_id": "hot", "order_total": t, "shipping_state": f"s{i}"} for i, t in enumerate(totals)]
+    orders += [{"order_id": "O2", "order_total": "5.00"}, {"order_id": "hot", "order_total": "7", "order_status": "returned"}]
+    amounts = ["10.00", "10.00", "20.00", "1", "n/a", "10.015"]
+    payments = [{"payment_id": f"P{i}", "order_id": "hot", "amount": a} for i, a in enumerate(amounts)]
+    payments += [{"payment_id": "Q", "order_id": "O2", "amount": "6.00"}, {"payment_id": "R", "order_id": "none"}]
+    stg = staging(spark, orders=orders, payments=payments)
+    want = []
+    priced = [Decimal(t) for t in totals if t != "n/a"]
+    for i, a in enumerate(amounts):
+        if a != "n/a" and (n := sum(abs(t - Decimal(a)) > Decimal("0.01") for t in priced)):
+            want.append((f"P{i}", f"payment_id=P{i}: settled payment {a} != completed order total on {n} of {len(priced)} rows of order_id=hot."))
+    want.append(("Q", "payment_id=Q: settled payment 6.00 != completed order total 5.00 (diff=-1.00)."))
+    assert found(stg, "DQ010") == sorted(want)
+    assert [r.record_key for r in find_violations(stg, ["DQ009", "DQ010"]).filter("rule_id = 'DQ009'").collect()] == ["R"]
+
+
 def test_dq011_and_dq012(spark):
     rows = [
         {}, {"ticket_id": "T2", "created_ts": None, "customer_id": None}, {"ticket_id": "T3", "created_ts": " \t", "customer_id": "C9"},

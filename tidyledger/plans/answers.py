@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidyledger.functions.text import dollars, message, month_label
-from tidyledger.operators.lookups import known_keys, lookup
+from tidyledger.operators.lookups import known_keys, lookup, own_exchange
 
 AMOUNT = "decimal(22,2)"
 
@@ -72,8 +72,13 @@ def _without_large_groups(issues: DataFrame, key: str) -> DataFrame:
     large = lookup(rows, key, ((F.count(F.lit(1)) > INLINE_ISSUES) | incomplete).alias("_large")).filter("_large")
     return (
         rows.join(large, key, "left")
-        .select(key, "rule_id", F.when(F.col("_large").isNull(), F.col("issue_description")).alias("issue_description"))
+        .select(
+            own_exchange(key),
+            "rule_id",
+            F.when(F.col("_large").isNull(), F.col("issue_description")).alias("issue_description"),
+        )
         .distinct()
+        .withColumn(key, own_exchange(key))
     )
 
 

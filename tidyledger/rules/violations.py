@@ -17,11 +17,15 @@ from tidyledger.functions.geography import standardize_country, standardize_stat
 from tidyledger.functions.text import message, same_word, strip
 from tidyledger.functions.timestamps import is_blank, parse_timestamp
 from tidyledger.operators.dedup import key_losers
-from tidyledger.operators.lookups import known_keys, lookup
+from tidyledger.operators.lookups import known_keys, lookup, own_exchange
 from tidyledger.operators.rows import repeat_rows
 from tidyledger.rules.staging import Staging
 from tidyledger.schemas import RAW_COLUMNS, SOURCE_ROW
 
+#: An order_id with more different completed totals than this is no single order. Its payments are compared with
+#: all of them by counting, one exception per payment, instead of pairing each payment with each total.
+MANY_TOTALS = 1000
+
 VIOLATION_COLUMNS = ("rule_id", "record_key", "issue_description")
 
 
@@ -213,16 +217,85 @@ def payment_rows(stg: Staging, wanted: Collection[str]) -> DataFrame:
     """DQ009 and DQ010 from one left join of payments to orders.
 
     Orders are counted first, so repeated rows of an order join once and their number is applied afterwards. An
-    unmatched payment comes out as exactly one row, which is what DQ009 needs.
+    unmatched payment comes out as exactly one row, which is what DQ009 needs. Equal violations are counted
+    before they are written out, so a payment repeated billions of times is one row in the shuffle.
+    """
+    if "DQ010" not in wanted:
+        return _paired_payments(stg, known_orders(stg), wanted)
+    totals = completed_totals(stg)
+    priced = F.sum(F.when(numbers.to_decimal(F.col("order_total")).isNotNull(), F.col("times")))
+    many = lookup(
+        totals.filter("completed"),
+        "order_id",
+        (F.count(F.lit(1)) > MANY_TOTALS).alias("many"),
+        F.coalesce(priced, F.lit(0)).alias("order_rows"),
+    ).filter("many")
+    # An order with many totals stays known, as one row without a total.
+    few = F.col("many").isNull()
+    paired = (
+        totals.join(many, "order_id", "left")
+        .select(
+            own_exchange("order_id"),
+            (F.col("completed") & few).alias("completed"),
+            F.when(few, F.col("order_total")).alias("order_total"),
+            F.when(few, F.col("times")).otherwise(1).alias("times"),
+        )
+        .distinct()
+        .withColumn("order_id", own_exchange("order_id"))
+    )
+    return _paired_payments(stg, paired, wanted).unionByName(_counted_payments(stg, totals, many))
+
+
+def _settled(stg: Staging) -> DataFrame:
+    return stg.payments.filter(same_word(F.col("payment_status"), "settled")).select(
+        "payment_id", "order_id", "amount", numbers.to_decimal(F.col("amount")).alias("paid")
+    )
+
+
+def _counted_payments(stg: Staging, totals: DataFrame, many: DataFrame) -> DataFrame:
+    """DQ010 for orders with many totals: how many of the order's rows disagree with the payment.
+
+    Rows that agree are found by an equi-join on (order, cent): a total within the tolerance lies in the
+    payment's cent or a neighbouring one.
     """
-    totals = completed_totals(stg) if "DQ010" in wanted else known_orders(stg)
+    cent = F.floor(F.col("paid") * 100)
+    paid = _settled(stg).filter(F.col("paid").isNotNull()).join(many, "order_id")
+    amounts = paid.select("order_id", "paid").distinct()
+    near_cents = amounts.select("order_id", "paid", F.explode(F.array(cent - 1, cent, cent + 1)).alias("cent"))
+    total = numbers.to_decimal(F.col("order_total"))
+    by_cent = (
+        totals.filter("completed")
+        .join(many.select("order_id"), "order_id", "left_semi")
+        .select("order_id", total.alias("total"), F.floor(total * 100).alias("cent"), "times")
+        .groupBy("order_id", "cent", "total")
+        .agg(F.sum("times").alias("times"))
+    )
+    agreeing = (
+        near_cents.join(by_cent, ["order_id", "cent"])
+        .filter(~numbers.disagree(F.col("total"), F.col("paid")))
+        .groupBy("order_id", "paid")
+        .agg(F.sum("times").alias("agreeing"))
+        .withColumn("order_id", own_exchange("order_id"))
+    )
+    compared = paid.join(agreeing, ["order_id", "paid"], "left").withColumn(
+        "differing", F.col("order_rows") - F.coalesce("agreeing", F.lit(0))
+    )
+    text = message(
+        "payment_id={id}: settled payment {amount} != completed order total on {n} of {m} rows of order_id={order}.",
+        id="payment_id", amount="amount", n="differing", m="order_rows", order="order_id",
+    )
+    return compared.filter(F.col("differing") > 0).select(
+        F.lit("DQ010").alias("rule_id"), F.col("payment_id").alias("record_key"), text.alias("issue_description")
+    )
+
+
+def _paired_payments(stg: Staging, totals: DataFrame, wanted: Collection[str]) -> DataFrame:
+    """Each payment beside each total of its order, as messages."""
     paid = stg.payments.select("payment_id", "order_id", "payment_status", "amount")
     joined = paid.join(totals, "order_id", "left").withColumns(
         {"paid": numbers.to_decimal(F.col("amount")), "total": numbers.to_decimal(F.col("order_total"))}
     )
-
-    total_places = numbers.decimals_in(F.col("order_total"))
-    places = F.greatest(numbers.decimals_in(F.col("amount")), total_places)
+    places = F.greatest(numbers.decimals_in(F.col("amount")), numbers.decimals_in(F.col("order_total")))
     differs = F.concat(
         message("payment_id={id}: settled payment ", id="payment_id"),
         numbers.digits(F.col("amount")),
@@ -247,7 +320,10 @@ def payment_rows(stg: Staging, wanted: Collection[str]) -> DataFrame:
         ),
     }
     found = _expand(joined, "payment_id", _chosen(issues, wanted), "times")
-    return repeat_rows(found.withColumn("times", F.coalesce("times", F.lit(1))), "times")
+    if "DQ010" not in wanted:
+        return found.drop("times")
+    counted = found.groupBy(*VIOLATION_COLUMNS).agg(F.sum(F.coalesce("times", F.lit(1))).alias("times"))
+    return repeat_rows(counted, "times")
 
 
 # --- support tickets -------------------------------------------------------------------------------------
