@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidyledger.functions.text import sql_text, strip
+
 # Id, dataset, description, severity of every rule.
 RULES = (
     ("DQ001", "customers", "customer_id must be unique after duplicate resolution", "High"),
@@ -47,7 +49,7 @@ RULE_COLUMNS = ("rule_id", "dataset", "description", "severity")
 
 def _values(spark: SparkSession, rows: list[tuple[str, ...]], names: tuple[str, ...]) -> DataFrame:
     """Literal rows as a local relation, so joins with them need no job of their own."""
-    quoted = ", ".join("(" + ", ".join(f"'{v}'" for v in row) + ")" for row in rows)
+    quoted = ", ".join("(" + ", ".join(map(sql_text, row)) + ")" for row in rows)
     return spark.sql(f"SELECT * FROM VALUES {quoted} AS rules({', '.join(names)})")
 
 
@@ -67,8 +69,6 @@ def load_registry(spark: SparkSession, path: str) -> DataFrame:
     Raises ValueError when the file and the actions do not name the same rules, or a rule names a dataset its
     check does not read.
     """
-    from tidyledger.functions.text import strip
-
     raw = spark.read.schema("rule_id string, dataset string, rule_description string, severity string").csv(
         path, header=True, escape='"'
     )

@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidyledger.operators.dedup import exact_kept, key_losers
 
@@ -20,6 +21,7 @@ class Staging:
     ):
         self._tables = dict(tables)
         self._orders_distinct = orders_distinct
+        self._crowded: dict[int, bool] = {}
 
     def _table(self, name: str) -> DataFrame:
         table = self._tables[name]
@@ -53,6 +55,13 @@ class Staging:
     def with_orders_distinct(self, df: DataFrame) -> Staging:
         return Staging(self._tables, df)
 
+    def has_order_id_on_more_rows_than(self, limit: int) -> bool:
+        """Runs a job: counts rows per order_id and brings one yes or no to the driver."""
+        if limit not in self._crowded:
+            per_id = self.orders.filter(F.col("order_id").isNotNull()).groupBy("order_id").count()
+            self._crowded[limit] = not per_id.filter(F.col("count") > limit).isEmpty()
+        return self._crowded[limit]
+
     @cached_property
     def customers_duplicates(self) -> DataFrame:
         """Customer rows after the first of their id."""

@@ -7,8 +7,6 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-CHECKPOINT_DIR = "spark.checkpoint.dir"
-
 
 def local_session(cores: int | str = "*", app: str = "tidyledger", memory: str = "12g") -> SparkSession:
     """Single-machine session with one shuffle partition per core and no web page."""

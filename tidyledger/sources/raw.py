@@ -14,6 +14,9 @@ from tidyledger.schemas import RAW_COLUMNS, SOURCE_ROW, raw_struct
 _FILE_BITS = 40
 _BAD_LINE = "_bad_line"
 
+#: Up to this many input files their name table is broadcast (about 10 MB); beyond it Spark joins by shuffle.
+BROADCAST_FILES = 50_000
+
 
 def _stamp(df: DataFrame, path: str | list[str]) -> DataFrame:
     """Add ``source_row``: the file's rank by name, then block offset plus row number within the scan task.
@@ -33,7 +36,9 @@ def _stamp(df: DataFrame, path: str | list[str]) -> DataFrame:
     ranks = spark.createDataFrame(list(zip(files, range(len(files)))), "_file string, _rank bigint")
     positioned = df.select("*", F.col("_metadata.file_path").alias("_file"), place.alias("_place"))
     known = F.coalesce(F.col("_rank"), F.raise_error(F.concat(F.lit("input file not listed: "), F.col("_file"))))
-    return positioned.join(F.broadcast(ranks), "_file", "left").select(
+    if len(files) <= BROADCAST_FILES:
+        ranks = F.broadcast(ranks)
+    return positioned.join(ranks, "_file", "left").select(
         *df.columns, (F.shiftleft(known.cast("bigint"), _FILE_BITS) + F.col("_place")).alias(SOURCE_ROW)
     )
 
