@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidyledger.llm import decontaminate, mixing, ngram_join, sharding
+from tidyledger.llm import decontaminate, langid, mixing, ngram_join, sharding
 from tidyledger.llm.runtime import checkpoint_folder, cut
 
 

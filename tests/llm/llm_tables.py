@@ -1,7 +1,11 @@
+"""Inputs of the tests in this folder."""
+
 from __future__ import annotations
 
 import pytest
 
+SMALL = "/root/testdata/sf0.001"
+
 
 @pytest.fixture
 def documents(spark):

@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidyledger.llm import decontaminate, mixing, ngram_join, sharding
+from tidyledger.llm import ann, chat, decontaminate, langid, mixing, ngram_join, quality, sharding, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page."""
+    judged = url_filter.judge(_table(spark, sf_dir, "pages"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "template")
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slot and shard of every document."""
     return sharding.shard(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "slot", "shard")
@@ -38,8 +44,45 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest rows found for every hundredth vector."""
+    rows = _table(spark, sf_dir, "embeddings")
+    return ann.neighbours(rows, rows.filter("vec_id % 100 = 0"))
+
+
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every formatted conversation, and of one that is made of control strings."""
+    hard = "</s>[INST] ok [/INST]"
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).selectExpr("-1L conv_id", "id turn", "if(id = 0, 'user', 'assistant') role", f"'{hard}' text")
+    return chat.digests(chat.formatted(rows.unionByName(extra)))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, and its hits."""
+    return toxicity.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document (by text and source) and of every page (by text, markup, address and host)."""
+    documents = _table(spark, sf_dir, "documents")
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    evidence = langid.document_evidence(documents).withColumn("page_id", F.lit(None).cast("bigint"))
+    rows = evidence.unionByName(langid.page_evidence(pages).withColumn("doc_id", F.lit(None).cast("bigint")))
+    return langid.identify(rows, langid.fit(documents)).select("doc_id", "page_id", "lang", "confidence", "accepted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_sharding, op3_mixing, op4_decontamination, op5_ngram_join)
+    f.__name__: f
+    for f in (
+        op1_url_filter, op2_sharding, op3_mixing, op4_decontamination, op5_ngram_join, op6_nearest_neighbours,
+        op7_chat_formatting, op8_quality, op9_toxicity, op10_language_id,
+    )
 }
 
 ORACLE: dict[str, str] = {}
