@@ -9,12 +9,19 @@ from pyspark.sql import functions as F
 
 from tidyledger.functions.text import strip
 
-#: Amounts are compared at this scale and stored at MONEY.
-WORKING = "decimal(20,6)"
+#: Every amount and price in the rules: 15 digits before the point and 8 after it.
+WORKING = "decimal(23,8)"
+#: Quantities in the rules.
+WHOLE = "decimal(14,0)"
+#: Any quantity times any price; its difference from an amount still has 8 decimals within Spark's 38 digits.
+PRODUCT = "decimal(37,8)"
+#: Amounts of the curated tables.
 MONEY = "decimal(12,2)"
 #: Wide enough that a fraction such as 2.0000001 is still seen when testing for whole numbers.
 EXACT = "decimal(38,18)"
 
+_NUMBER = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
+
 # Fixed value: amounts further apart than this disagree.
 TOLERANCE = Decimal("0.01")
 
@@ -29,10 +36,49 @@ def to_decimal(c: Column, kind: str = WORKING) -> Column:
     return digits(c).try_cast(kind)
 
 
-def to_int(c: Column) -> Column:
+def to_whole(c: Column) -> Column:
     """``2`` and ``2.0`` give 2; ``2.5`` gives NULL. Negatives pass through."""
     exact = to_decimal(c, EXACT)
-    return F.when(exact == F.floor(exact), exact.try_cast("int"))
+    return F.when(exact == F.floor(exact), exact.try_cast(WHOLE))
+
+
+def to_int(c: Column) -> Column:
+    """The stored quantity."""
+    return to_whole(c).try_cast("int")
+
+
+def times(quantity: Column, price: Column) -> Column:
+    """Both as the rules read them."""
+    return (quantity * price).cast(PRODUCT)
+
+
+def is_number(c: Column) -> Column:
+    """Whether the text is a finite number, of any size. NULL is not."""
+    return F.coalesce(digits(c).rlike(_NUMBER), F.lit(False))
+
+
+def is_oversized_whole(c: Column) -> Column:
+    """A whole number that ``to_whole`` has no room for."""
+    exact = to_decimal(c, EXACT)
+    return is_number(c) & F.when(exact.isNull(), F.lit(True)).otherwise(exact == F.floor(exact)) & to_whole(c).isNull()
+
+
+def amount_problem(c: Column) -> Column:
+    """Why the rules or the curated tables do not hold the number in the text as it is; NULL if they do."""
+    working = to_decimal(c)
+    return F.when(
+        is_number(c),
+        F.when(working.isNull(), F.lit("too large to be checked"))
+        .when(to_money(working).isNull(), F.lit("too large for the curated table"))
+        .when(to_decimal(c, EXACT) != working, F.lit("checked at 8 decimals")),
+    )
+
+
+def quantity_problem(c: Column) -> Column:
+    """The same for quantities; one that is not whole is a violation of its rule and not reported here."""
+    return F.when(is_oversized_whole(c), F.lit("too large to be checked")).when(
+        to_whole(c).isNotNull() & to_int(c).isNull(), F.lit("too large for the curated table")
+    )
 
 
 def to_money(amount: Column) -> Column:
@@ -46,14 +92,14 @@ def disagree(a: Column, b: Column) -> Column:
 
 
 def decimals_in(c: Column) -> Column:
-    """Decimal places as written in the source (0 to 6); exponent notation shows all six."""
+    """Decimal places as written in the source (0 to 8); exponent notation shows all eight."""
     text = digits(c)
-    return F.when(text.rlike("[eE]"), F.lit(6)).otherwise(
-        F.least(F.length(F.regexp_extract(text, r"\.(\d+)$", 1)), F.lit(6))
+    return F.when(text.rlike("[eE]"), F.lit(8)).otherwise(
+        F.least(F.length(F.regexp_extract(text, r"\.(\d+)$", 1)), F.lit(8))
     )
 
 
 def as_written(amount: Column, places: Column) -> Column:
     """Print a working amount with the given number of decimal places, without thousands separators."""
-    text = amount.cast("decimal(38,6)").cast("string")
-    return F.substring(text, F.lit(1), F.length(text) - F.lit(6) + places - F.when(places == 0, 1).otherwise(0))
+    text = amount.cast("decimal(38,8)").cast("string")
+    return F.substring(text, F.lit(1), F.length(text) - F.lit(8) + places - F.when(places == 0, 1).otherwise(0))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidyledger.functions.contact import is_active, normalize_email
 from tidyledger.functions.geography import standardize_geo_columns, standardize_state
-from tidyledger.functions.numbers import to_decimal, to_int, to_money
+from tidyledger.functions.numbers import times, to_decimal, to_money, to_whole
 from tidyledger.functions.text import full_name
 from tidyledger.functions.timestamps import parse_date
 from tidyledger.operators.dedup import key_winners, mark_soft_duplicates
@@ -66,19 +66,19 @@ def fact_order(stg: Staging) -> DataFrame:
         "customer_id",
         "product_id",
         parse_date(F.col("order_ts")).alias("order_date"),
-        to_int(F.col("quantity")).alias("quantity"),
+        to_whole(F.col("quantity")).alias("whole"),
         "order_status",
         standardize_state(F.col("shipping_state")).alias("shipping_state"),
         to_decimal(F.col("order_total")).alias("gross"),
     )
     priced = typed.join(prices(stg.products).select("product_id", "unit_price"), "product_id", "left")
-    calculated = F.col("quantity") * to_decimal(F.col("unit_price"))
+    calculated = times(F.col("whole"), to_decimal(F.col("unit_price")))
     out = priced.select(
         F.col("order_id").alias("order_key"),
         F.col("customer_id").alias("customer_key"),
         F.col("product_id").alias("product_key"),
         "order_date",
-        "quantity",
+        F.col("whole").try_cast("int").alias("quantity"),
         "order_status",
         "shipping_state",
         to_money(F.col("gross")).alias("gross_order_amount"),
