@@ -2,15 +2,17 @@
 
 No operator here sorts or windows a duplicate group. A group's first row is found by an aggregate, which
 combines on the map side, so a group that holds a third of the table costs one partial row per task. Rows are
-then kept, dropped or flagged by joining on ``source_row``, which is unique, so the join has no hot key.
-NULL keys compare equal, as in any Spark grouping.
+then kept or flagged by joining on ``source_row``, which is unique, so the join has no hot key. Rows after the first are
+found by joining the few keys that repeat, with their first position, to the rows: that side is broadcast when it is
+small, and otherwise a hot key is split by the adaptive skew join. NULL keys compare equal, as in any Spark grouping.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidyledger.schemas import SOURCE_ROW
@@ -24,7 +26,7 @@ def exact_kept(df: DataFrame, order_col: str = SOURCE_ROW) -> DataFrame:
 
 def exact_dropped(df: DataFrame, order_col: str = SOURCE_ROW) -> DataFrame:
     """The rows ``exact_kept`` leaves out."""
-    return df.join(exact_kept(df, order_col).select(order_col), order_col, "left_anti").select(*df.columns)
+    return key_losers(df, [c for c in df.columns if c != order_col], order_col)
 
 
 def key_winners(df: DataFrame, keys: Sequence[str], order_col: str = SOURCE_ROW) -> DataFrame:
@@ -36,8 +38,10 @@ def key_winners(df: DataFrame, keys: Sequence[str], order_col: str = SOURCE_ROW)
 
 def key_losers(df: DataFrame, keys: Sequence[str], order_col: str = SOURCE_ROW) -> DataFrame:
     """Every row after the first of its key."""
-    firsts = df.groupBy(*keys).agg(F.min(order_col).alias(order_col)).select(order_col)
-    return df.join(firsts, order_col, "left_anti").select(*df.columns)
+    counted = df.groupBy(*keys).agg(F.min(order_col).alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    repeated = counted.filter("_rows > 1").select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], "_first")
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)])
+    return df.join(repeated, same).filter(F.col(order_col) > F.col("_first")).select(*df.columns)
 
 
 def mark_soft_duplicates(
