@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidyledger.functions.text import sql_text, strip
+from tidyledger.schemas import SOURCE_ROW
+from tidyledger.sources.raw import read_csv
 
 # Id, dataset, description, severity of every rule.
 RULES = (
@@ -45,6 +48,7 @@ UNKNOWN_SEVERITY_RANK = 99
 
 RULE_IDS = tuple(rule[0] for rule in RULES)
 RULE_COLUMNS = ("rule_id", "dataset", "description", "severity")
+_FILE_COLUMNS = ("rule_id", "dataset", "rule_description", "severity")
 
 
 def _values(spark: SparkSession, rows: list[tuple[str, ...]], names: tuple[str, ...]) -> DataFrame:
@@ -64,30 +68,31 @@ def registry(spark: SparkSession) -> DataFrame:
 
 
 def load_registry(spark: SparkSession, path: str) -> DataFrame:
-    """Rules from a CSV (rule_id, dataset, rule_description, severity), each with its action.
+    """Rules from a CSV (rule_id, dataset, rule_description, severity), each with its action. A later line replaces an
+    earlier one of the same rule.
 
     Raises ValueError when the file and the actions do not name the same rules, or a rule names a dataset its
     check does not read.
     """
-    raw = spark.read.schema("rule_id string, dataset string, rule_description string, severity string").csv(
-        path, header=True, escape='"'
-    )
-    rules = raw.select(*[strip(F.col(c)).alias(n) for c, n in zip(raw.columns, RULE_COLUMNS)])
-    # Rules are written by hand, one check each; a file with more ids than checks is already an error.
-    problems = drift(rules, actions(spark)).limit(len(RULES) + 1).collect()
-    if problems:
-        raise ValueError("rules and actions differ: " + ", ".join(f"{r.rule_id} {r.problem}" for r in problems))
+    raw = read_csv(spark, path, T.StructType([T.StructField(c, T.StringType()) for c in _FILE_COLUMNS]))
+    lines = raw.select(*[strip(F.col(c)).alias(n) for c, n in zip(_FILE_COLUMNS, RULE_COLUMNS)], SOURCE_ROW)
+    rules = lines.groupBy("rule_id").agg(*[F.max_by(c, SOURCE_ROW).alias(c) for c in RULE_COLUMNS[1:]])
+    problems = drift(rules, actions(spark)).groupBy("problem").agg(F.count(F.lit(1)).alias("n"), F.min("rule_id").alias("first"))
+    told = [f"{r.first} {r.problem}" + (f" and {r.n - 1} more" if r.n > 1 else "") for r in problems.orderBy("problem").collect()]
+    if told:
+        raise ValueError("rules and actions differ: " + ", ".join(told))
+    # From here on there is one row per check.
     moved = rules.join(registry(spark).select("rule_id", "dataset"), ["rule_id", "dataset"], "left_anti").collect()
     if moved:
         raise ValueError("rules on another dataset than their check: " + ", ".join(r.rule_id for r in moved))
     return rules.join(F.broadcast(actions(spark)), "rule_id")
 
 
-def drift(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rule ids present on one side only."""
-    a, b = left.select("rule_id").distinct(), right.select("rule_id").distinct()
+def drift(left: DataFrame, right: DataFrame, key: str = "rule_id") -> DataFrame:
+    """Non-NULL ids present on one side only."""
+    a, b = (df.filter(F.col(key).isNotNull()).select(key).distinct() for df in (left, right))
     return (
-        a.join(b, "rule_id", "left_anti")
+        a.join(b, key, "left_anti")
         .withColumn("problem", F.lit("only on the left"))
-        .unionByName(b.join(a, "rule_id", "left_anti").withColumn("problem", F.lit("only on the right")))
+        .unionByName(b.join(a, key, "left_anti").withColumn("problem", F.lit("only on the right")))
     )

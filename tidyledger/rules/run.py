@@ -50,8 +50,9 @@ def run_rules(
     moment = detected_at or datetime.now(timezone.utc)
     if moment.tzinfo is not None:
         moment = moment.astimezone(timezone.utc).replace(tzinfo=None)
-    # The registry holds one row per rule of this module, so its broadcast cannot grow with the data.
-    known = rules.select("rule_id", "severity", "suggested_action")
+    # One row per rule of this module, whatever the given registry holds, so the broadcast cannot grow.
+    of_rule = F.min(F.struct("severity", "suggested_action")).alias("r")
+    known = rules.filter(F.col("rule_id").isin(*RULE_IDS)).groupBy("rule_id").agg(of_rule).select("rule_id", "r.*")
     report = found.join(F.broadcast(known), "rule_id").withColumn(
         "detected_at", F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
     )

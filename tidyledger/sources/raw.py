@@ -10,37 +10,20 @@ from pyspark.sql import types as T
 
 from tidyledger.schemas import RAW_COLUMNS, SOURCE_ROW, raw_struct
 
-#: Bits of the source position that hold the place inside one file (files up to 1 TiB).
-_FILE_BITS = 40
 _BAD_LINE = "_bad_line"
 
-#: Up to this many input files their name table is broadcast (about 10 MB); beyond it Spark joins by shuffle.
-BROADCAST_FILES = 50_000
 
+def _stamp(df: DataFrame) -> DataFrame:
+    """Add ``source_row``: file path, begin of the block and row number in the scan task, ordered in this order.
 
-def _stamp(df: DataFrame, path: str | list[str]) -> DataFrame:
-    """Add ``source_row``: the file's rank by name, then block offset plus row number within the scan task.
-
-    A row takes at least two bytes and a scan task reads at most one block's worth of bytes, so a row number
-    never reaches the next block's offset and the value is unique and increasing within a file. It must be
-    called on the bare scan, before any shuffle.
+    Blocks of a file do not overlap and a block is read by one task, so the value is unique, also in compressed files that
+    can be split, and it increases within a file. It must be called on the bare scan, before any shuffle.
     """
-    spark = df.sparkSession
     row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    place = F.col("_metadata.file_block_start") + row_in_task
-    if len(df.inputFiles()) <= 1:
-        return df.withColumn(SOURCE_ROW, place)
-    # File names only: the listing the driver already holds, in the spelling rows carry. Contents are not read.
-    listed = spark.read.format("binaryFile").load(path).select("_metadata.file_path")
-    files = sorted(row.file_path for row in listed.collect())
-    ranks = spark.createDataFrame(list(zip(files, range(len(files)))), "_file string, _rank bigint")
-    positioned = df.select("*", F.col("_metadata.file_path").alias("_file"), place.alias("_place"))
-    known = F.coalesce(F.col("_rank"), F.raise_error(F.concat(F.lit("input file not listed: "), F.col("_file"))))
-    if len(files) <= BROADCAST_FILES:
-        ranks = F.broadcast(ranks)
-    return positioned.join(ranks, "_file", "left").select(
-        *df.columns, (F.shiftleft(known.cast("bigint"), _FILE_BITS) + F.col("_place")).alias(SOURCE_ROW)
+    position = F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), row_in_task.alias("row")
     )
+    return df.withColumn(SOURCE_ROW, position)
 
 
 def read_csv(
@@ -64,7 +47,7 @@ def read_csv(
     cells = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
     too_long = F.raise_error(F.concat(F.lit("CSV row with too many cells: "), F.col(_BAD_LINE)))
     first, *rest = schema.names
-    return _stamp(raw, path).select(
+    return _stamp(raw).select(
         F.when(cells > len(schema.names), too_long).otherwise(F.col(first)).cast("string").alias(first),
         *rest,
         SOURCE_ROW,
@@ -78,7 +61,7 @@ def read_jsonl(spark: SparkSession, path: str | list[str], columns: tuple[str, .
     read.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return _stamp(spark.read.schema(schema).option("mode", "FAILFAST").json(path), path)
+    return _stamp(spark.read.schema(schema).option("mode", "FAILFAST").json(path))
 
 
 # File name of each raw table.
