@@ -8,7 +8,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidyledger.operators.dedup import exact_kept, key_losers
+from tidyledger.operators.dedup import key_losers
+from tidyledger.schemas import RAW_COLUMNS, SOURCE_ROW
 
 
 class Staging:
@@ -21,7 +22,6 @@ class Staging:
     ):
         self._tables = dict(tables)
         self._orders_distinct = orders_distinct
-        self._crowded: dict[int, bool] = {}
 
     def _table(self, name: str) -> DataFrame:
         table = self._tables[name]
@@ -47,21 +47,25 @@ class Staging:
     def support_tickets(self) -> DataFrame:
         return self._table("support_tickets")
 
+    @cached_property
+    def order_contents(self) -> DataFrame:
+        """Distinct order contents with the first position and the number of copies.
+
+        One grouping for all who need either: the filter keeps both aggregates in every plan, so plans that contain it
+        more than once shuffle the orders once.
+        """
+        both = [F.min(SOURCE_ROW).alias(SOURCE_ROW), F.count(F.lit(1)).alias("copies")]
+        contents = self.orders.groupBy(*RAW_COLUMNS["orders"]).agg(*both)
+        return contents.filter(F.col(SOURCE_ROW).isNotNull() & (F.col("copies") > 0))
+
     @cached_property
     def kept_orders(self) -> DataFrame:
         """Orders without identical repeats: the table a batch run wrote, or else derived here."""
-        return exact_kept(self.orders) if self._orders_distinct is None else self._orders_distinct
+        return self.order_contents.drop("copies") if self._orders_distinct is None else self._orders_distinct
 
     def with_orders_distinct(self, df: DataFrame) -> Staging:
         return Staging(self._tables, df)
 
-    def has_order_id_on_more_rows_than(self, limit: int) -> bool:
-        """Runs a job: counts rows per order_id and brings one yes or no to the driver."""
-        if limit not in self._crowded:
-            per_id = self.orders.filter(F.col("order_id").isNotNull()).groupBy("order_id").count()
-            self._crowded[limit] = not per_id.filter(F.col("count") > limit).isEmpty()
-        return self._crowded[limit]
-
     @cached_property
     def customers_duplicates(self) -> DataFrame:
         """Customer rows after the first of their id."""

@@ -17,30 +17,28 @@ from tidyledger.functions.geography import standardize_country, standardize_stat
 from tidyledger.functions.text import message, same_word, strip
 from tidyledger.functions.timestamps import is_blank, parse_timestamp
 from tidyledger.operators.dedup import key_losers
-from tidyledger.operators.lookups import known_keys, lookup, own_exchange
+from tidyledger.operators.lookups import known_keys, lookup
 from tidyledger.operators.rows import repeat_rows
 from tidyledger.rules.staging import Staging
-from tidyledger.schemas import RAW_COLUMNS, SOURCE_ROW
+from tidyledger.schemas import SOURCE_ROW
 
-#: An order_id with more different completed totals than this is no single order. Its payments are compared with
-#: all of them by counting, one exception per payment, instead of pairing each payment with each total.
-MANY_TOTALS = 1000
+# The texts of all messages in this module.
 
 VIOLATION_COLUMNS = ("rule_id", "record_key", "issue_description")
 
 
-def _expand(df: DataFrame, key: str, issues: Mapping[str, Column], *carry: str) -> DataFrame:
+def _expand(df: DataFrame, key: str, issues: Mapping[str, Column]) -> DataFrame:
     """One output row per rule whose message is not NULL.
 
     Messages are filtered after they are expanded: a filter on them any earlier would be pushed towards the
     scan and evaluate every parsing expression a second time.
     """
-    messages = df.select(F.col(key).alias("record_key"), *carry, *[m.alias(r) for r, m in issues.items()])
+    messages = df.select(F.col(key).alias("record_key"), *[m.alias(r) for r, m in issues.items()])
     pairs = F.array(*[F.struct(F.lit(r).alias("rule_id"), F.col(r).alias("issue_description")) for r in issues])
     return (
-        messages.select("record_key", *carry, F.inline(pairs))
+        messages.select("record_key", F.inline(pairs))
         .filter(F.col("issue_description").isNotNull())
-        .select(*VIOLATION_COLUMNS, *carry)
+        .select(*VIOLATION_COLUMNS)
     )
 
 
@@ -111,8 +109,7 @@ def order_duplicates(stg: Staging) -> DataFrame:
 
     Of an order_id's n rows in g distinct contents, n - g are identical repeats and g - 1 are collisions.
     """
-    contents = stg.orders.groupBy(*RAW_COLUMNS["orders"]).agg(F.count(F.lit(1)).alias("copies"))
-    per_id = contents.groupBy("order_id").agg(F.sum("copies").alias("n"), F.count(F.lit(1)).alias("g"))
+    per_id = stg.order_contents.groupBy("order_id").agg(F.sum("copies").alias("n"), F.count(F.lit(1)).alias("g"))
     identical = message("Duplicate order_id={id}; identical row was dropped (no information lost).", id="order_id")
     collision = message(
         "Duplicate order_id={id}; later occurrence with different attributes was dropped in favour of the "
@@ -143,12 +140,19 @@ def _unknown_reference(owner: str, key: str, column: str, known: str, table: str
 
 
 def _quantity_issue() -> Column:
+    """A whole number with no room in the rules is a number all the same, and positive unless it has a minus sign."""
     bad = "order_id={id}: completed-order quantity "
     missing = message(bad + "is missing.", id="order_id")
     not_whole = message(bad + "'{raw}' is not a valid integer.", id="order_id", raw="quantity")
     not_positive = message(bad + "{qty} is not positive.", id="order_id", qty="qty")
-    issue = F.when(F.col("quantity").isNull(), missing).when(F.col("qty").isNull(), not_whole)
-    return F.when(same_word(F.col("order_status"), "completed"), issue.when(F.col("qty") <= 0, not_positive))
+    negative = F.concat(message(bad, id="order_id"), numbers.digits(F.col("quantity")), F.lit(" is not positive."))
+    issue = (
+        F.when(F.col("quantity").isNull(), missing)
+        .when(F.col("qty") <= 0, not_positive)
+        .when(F.col("qty").isNull() & ~F.col("oversized"), not_whole)
+        .when(F.col("oversized") & numbers.digits(F.col("quantity")).startswith("-"), negative)
+    )
+    return F.when(same_word(F.col("order_status"), "completed"), issue)
 
 
 def _total_issue() -> Column:
@@ -175,10 +179,14 @@ def order_rows(stg: Staging, wanted: Collection[str]) -> DataFrame:
         df = df.join(prices(stg.products), "product_id", "left")
     # Parsed once here; the rules refer to each number several times.
     df = df.withColumns(
-        {"qty": numbers.to_int(F.col("quantity")), "total": numbers.to_decimal(F.col("order_total"))}
+        {
+            "qty": numbers.to_whole(F.col("quantity")),
+            "oversized": numbers.is_oversized_whole(F.col("quantity")),
+            "total": numbers.to_decimal(F.col("order_total")),
+        }
     )
     if "DQ008" in wanted:
-        df = df.withColumn("calculated", F.col("qty") * numbers.to_decimal(F.col("unit_price")))
+        df = df.withColumn("calculated", numbers.times(F.col("qty"), numbers.to_decimal(F.col("unit_price"))))
     issues = {
         "DQ005": _unknown_reference("order_id", "order_id", "customer_id", "customer_known", "customers"),
         "DQ006": _unknown_reference("order_id", "order_id", "product_id", "product_known", "products"),
@@ -191,144 +199,52 @@ def order_rows(stg: Staging, wanted: Collection[str]) -> DataFrame:
 # --- payments --------------------------------------------------------------------------------------------
 
 
-def completed_totals(stg: Staging) -> DataFrame:
-    """Orders without identical repeats, counted per (order_id, completed, order_total of completed orders)."""
-    is_completed = same_word(F.col("order_status"), "completed")
-    return (
-        stg.kept_orders.filter(F.col("order_id").isNotNull())
-        .select(
-            "order_id",
-            is_completed.alias("completed"),
-            F.when(is_completed, F.col("order_total")).alias("order_total"),
-        )
-        .groupBy("order_id", "completed", "order_total")
-        .agg(F.count(F.lit(1)).alias("times"))
-    )
-
-
 def known_orders(stg: Staging) -> DataFrame:
-    """The same columns when only membership matters; identical repeats cannot change it."""
-    return known_keys(stg.orders, "order_id", "completed").withColumns(
-        {"order_total": F.lit(None).cast("string"), "times": F.lit(1).cast("bigint")}
-    )
-
+    """One row per order_id: that it is known, and its lowest and highest completed total with their texts.
 
-def payment_rows(stg: Staging, wanted: Collection[str]) -> DataFrame:
-    """DQ009 and DQ010 from one left join of payments to orders.
-
-    Orders are counted first, so repeated rows of an order join once and their number is applied afterwards. An
-    unmatched payment comes out as exactly one row, which is what DQ009 needs. Equal violations are counted
-    before they are written out, so a payment repeated billions of times is one row in the shuffle.
-
-    Whether any order_id is crowded at all is asked first, with a job over that one column; the plan for the
-    usual answer then needs nothing else.
+    Two totals of fixed size stand for all of them: a payment that agrees with both agrees with every one between.
     """
-    if "DQ010" not in wanted:
-        return _paired_payments(stg, known_orders(stg), wanted)
-    totals = completed_totals(stg)
-    if not stg.has_order_id_on_more_rows_than(MANY_TOTALS):
-        return _paired_payments(stg, totals, wanted)
-    priced = F.sum(F.when(numbers.to_decimal(F.col("order_total")).isNotNull(), F.col("times")))
-    many = lookup(
-        totals.filter("completed"),
-        "order_id",
-        (F.count(F.lit(1)) > MANY_TOTALS).alias("many"),
-        F.coalesce(priced, F.lit(0)).alias("order_rows"),
-    ).filter("many")
-    # An order with many totals stays known, as one row without a total.
-    few = F.col("many").isNull()
-    paired = (
-        totals.join(many, "order_id", "left")
-        .select(
-            own_exchange("order_id"),
-            (F.col("completed") & few).alias("completed"),
-            F.when(few, F.col("order_total")).alias("order_total"),
-            F.when(few, F.col("times")).otherwise(1).alias("times"),
-        )
-        .distinct()
-        .withColumn("order_id", own_exchange("order_id"))
+    text = F.col("order_total")
+    total = F.when(same_word(F.col("order_status"), "completed"), numbers.to_decimal(text))
+    lowest = F.min(F.when(total.isNotNull(), F.struct(total.alias("total"), text.alias("text"))))
+    highest = F.min(F.when(total.isNotNull(), F.struct((-total).alias("total"), text.alias("text"))))
+    ends = lookup(stg.orders, "order_id", lowest.alias("low"), highest.alias("high"), F.lit(True).alias("order_known"))
+    return ends.select(
+        "order_id", "order_known", "low", F.struct((-F.col("high.total")).alias("total"), F.col("high.text").alias("text")).alias("high")
     )
-    return _paired_payments(stg, paired, wanted).unionByName(_counted_payments(stg, totals, many))
 
 
-def _settled(stg: Staging) -> DataFrame:
-    return stg.payments.filter(same_word(F.col("payment_status"), "settled")).select(
-        "payment_id", "order_id", "amount", numbers.to_decimal(F.col("amount")).alias("paid")
-    )
-
-
-def _counted_payments(stg: Staging, totals: DataFrame, many: DataFrame) -> DataFrame:
-    """DQ010 for orders with many totals: how many of the order's rows disagree with the payment.
+def payment_rows(stg: Staging, wanted: Collection[str]) -> DataFrame:
+    """DQ009 and DQ010 from one left join of payments to orders.
 
-    Rows that agree are found by an equi-join on (order, cent): a total within the tolerance lies in the
-    payment's cent or a neighbouring one.
+    A settled payment that disagrees with some completed row of its order disagrees with the lowest or the highest total.
+    It gives one exception, which names the total that differs most (the highest, if both differ alike).
     """
-    cent = F.floor(F.col("paid") * 100)
-    paid = _settled(stg).filter(F.col("paid").isNotNull()).join(many, "order_id")
-    amounts = paid.select("order_id", "paid").distinct()
-    near_cents = amounts.select("order_id", "paid", F.explode(F.array(cent - 1, cent, cent + 1)).alias("cent"))
-    total = numbers.to_decimal(F.col("order_total"))
-    by_cent = (
-        totals.filter("completed")
-        .join(many.select("order_id"), "order_id", "left_semi")
-        .select("order_id", total.alias("total"), F.floor(total * 100).alias("cent"), "times")
-        .groupBy("order_id", "cent", "total")
-        .agg(F.sum("times").alias("times"))
-    )
-    agreeing = (
-        near_cents.join(by_cent, ["order_id", "cent"])
-        .filter(~numbers.disagree(F.col("total"), F.col("paid")))
-        .groupBy("order_id", "paid")
-        .agg(F.sum("times").alias("agreeing"))
-        .withColumn("order_id", own_exchange("order_id"))
-    )
-    compared = paid.join(agreeing, ["order_id", "paid"], "left").withColumn(
-        "differing", F.col("order_rows") - F.coalesce("agreeing", F.lit(0))
-    )
-    text = message(
-        "payment_id={id}: settled payment {amount} != completed order total on {n} of {m} rows of order_id={order}.",
-        id="payment_id", amount="amount", n="differing", m="order_rows", order="order_id",
-    )
-    return compared.filter(F.col("differing") > 0).select(
-        F.lit("DQ010").alias("rule_id"), F.col("payment_id").alias("record_key"), text.alias("issue_description")
-    )
-
-
-def _paired_payments(stg: Staging, totals: DataFrame, wanted: Collection[str]) -> DataFrame:
-    """Each payment beside each total of its order, as messages."""
-    paid = stg.payments.select("payment_id", "order_id", "payment_status", "amount")
-    joined = paid.join(totals, "order_id", "left").withColumns(
-        {"paid": numbers.to_decimal(F.col("amount")), "total": numbers.to_decimal(F.col("order_total"))}
-    )
-    places = F.greatest(numbers.decimals_in(F.col("amount")), numbers.decimals_in(F.col("order_total")))
-    differs = F.concat(
-        message("payment_id={id}: settled payment ", id="payment_id"),
-        numbers.digits(F.col("amount")),
-        F.lit(" != completed order total "),
-        numbers.digits(F.col("order_total")),
-        F.lit(" (diff="),
-        numbers.as_written(F.col("total") - F.col("paid"), places),
-        F.lit(")."),
-    )
+    orders = known_orders(stg) if "DQ010" in wanted else known_keys(stg.orders, "order_id", "order_known")
+    payments = stg.payments.select("payment_id", "order_id", "payment_status", "amount")
+    joined = payments.join(orders, "order_id", "left")
     orphan = message(
         "Orphan payment: order_id={order} not found in orders (payment_id={id}).", order="order_id", id="payment_id"
     )
-    issues = {
-        "DQ009": F.when(
-            F.col("order_id").isNull(), message("payment_id={id}: payment order_id is missing.", id="payment_id")
-        ).when(F.col("times").isNull(), orphan),
-        "DQ010": F.when(
-            same_word(F.col("payment_status"), "settled")
-            & F.col("completed")
-            & numbers.disagree(F.col("total"), F.col("paid")),
-            differs,
-        ),
-    }
-    found = _expand(joined, "payment_id", _chosen(issues, wanted), "times")
-    if "DQ010" not in wanted:
-        return found.drop("times")
-    counted = found.groupBy(*VIOLATION_COLUMNS).agg(F.sum(F.coalesce("times", F.lit(1))).alias("times"))
-    return repeat_rows(counted, "times")
+    missing = message("payment_id={id}: payment order_id is missing.", id="payment_id")
+    issues = {"DQ009": F.when(F.col("order_id").isNull(), missing).when(F.col("order_known").isNull(), orphan)}
+    if "DQ010" in wanted:
+        joined = joined.withColumn("paid", numbers.to_decimal(F.col("amount")))
+        gap = lambda end: F.abs(F.col(f"{end}.total") - F.col("paid"))
+        joined = joined.withColumn("end", F.when(gap("high") >= gap("low"), F.col("high")).otherwise(F.col("low")))
+        places = F.greatest(numbers.decimals_in(F.col("amount")), numbers.decimals_in(F.col("end.text")))
+        differs = F.concat(
+            message("payment_id={id}: settled payment ", id="payment_id"),
+            numbers.digits(F.col("amount")),
+            F.lit(" != completed order total "),
+            numbers.digits(F.col("end.text")),
+            F.lit(" (diff="),
+            numbers.as_written(F.col("end.total") - F.col("paid"), places),
+            F.lit(")."),
+        )
+        settled = same_word(F.col("payment_status"), "settled")
+        issues["DQ010"] = F.when(settled & numbers.disagree(F.col("end.total"), F.col("paid")), differs)
+    return _expand(joined, "payment_id", _chosen(issues, wanted))
 
 
 # --- support tickets -------------------------------------------------------------------------------------
