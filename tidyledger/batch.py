@@ -34,9 +34,9 @@ def answer_tables(tables: Mapping[str, DataFrame], exceptions: DataFrame, rules:
     """Answers and report tables over written inputs."""
     order, payment, customer = tables["fact_order"], tables["fact_payment"], tables["dim_customer"]
     return {
+        "q3_order_issues": answers.q3_order_issues(order, exceptions, payment),
         "q1_revenue_by_month": answers.q1_revenue_by_month(order),
         "q2_top_customers": answers.q2_top_customers(order, customer),
-        "q3_order_exceptions": answers.q3_order_exceptions(order, exceptions, payment),
         "q3_summary": answers.q3_summary(exceptions),
         "q4_revenue_by_state": answers.q4_revenue_by_state(order),
         "q5_per_customer_detail": answers.q5_per_customer_detail(
@@ -46,6 +46,8 @@ def answer_tables(tables: Mapping[str, DataFrame], exceptions: DataFrame, rules:
         "dq_summary": report.dq_summary(exceptions),
         "dq_by_severity": report.dq_by_severity(exceptions),
         "dq_by_rule": report.dq_by_rule(exceptions, rules),
+        "dq_by_rule_severity": report.dq_by_rule_severity(exceptions),
+        "rule_reference": report.rule_reference(exceptions, rules),
         "dq_samples_per_rule": report.dq_samples_per_rule(exceptions, rules),
         "kpi_metrics": report.kpi_metrics(customer, order, exceptions),
     }
@@ -88,6 +90,15 @@ def run(
         name: write_table(df, f"{out}/answers/{name}")
         for name, df in answer_tables(tables, exceptions, rules).items()
     }
+    q3 = answers.q3_order_exceptions(tables["fact_order"], written["q3_order_issues"])
+    written["q3_order_exceptions"] = write_table(q3, f"{out}/answers/q3_order_exceptions")
+    over_written = {
+        "q3_distinct_rules": answers.q3_distinct_rules(written["q3_order_exceptions"]),
+        "reconcile_totals": report.reconcile_totals(stg, tables["fact_order"], tables["fact_payment"]),
+        "numbers_not_held": report.numbers_not_held(stg),
+        "table_profile": report.table_profile({**tables, EXCEPTION_TABLE: exceptions}),
+    }
+    written |= {name: write_table(df, f"{out}/answers/{name}") for name, df in over_written.items()}
     written["q5_sentiment_link"] = write_table(
         answers.q5_sentiment_link(written["q5_per_customer_detail"]), f"{out}/answers/q5_sentiment_link"
     )

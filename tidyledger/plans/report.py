@@ -7,12 +7,14 @@ from collections.abc import Collection, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidyledger.functions import numbers
 from tidyledger.functions.numbers import to_decimal
 from tidyledger.functions.text import table_cell
 from tidyledger.operators.rows import first_per_group
 from tidyledger.plans.answers import AMOUNT, side_by_side
 from tidyledger.rules.run import with_severity_rank
 from tidyledger.rules.staging import Staging
+from tidyledger.rules.violations import prices
 from tidyledger.schemas import RAW_COLUMNS
 
 SAMPLES = 5
@@ -44,7 +46,7 @@ def dq_by_rule(exceptions: DataFrame, rules: DataFrame) -> DataFrame:
     counts = exceptions.groupBy("rule_id").agg(_rows().alias("violations"))
     described = rules.select("rule_id", "description", "severity")
     return (
-        counts.join(F.broadcast(described), "rule_id")
+        described.join(counts, "rule_id")
         .select("rule_id", F.replace("description", F.lit("|"), F.lit("\\|")).alias("description"), "severity", "violations")
         .orderBy("rule_id")
     )
@@ -61,14 +63,17 @@ def rule_reference(exceptions: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def dq_samples_per_rule(exceptions: DataFrame, rules: DataFrame, n: int = SAMPLES) -> DataFrame:
-    """Up to ``n`` rows of every rule, newest first; a rule without violations has one row of NULLs."""
+    """Up to ``n`` rows of every rule, newest first; a rule without violations has one row of NULLs.
+
+    Only what the order needs goes through the sort; the severity, which belongs to the rule, comes from ``rules``.
+    """
     order = [F.desc("detected_at"), F.asc_nulls_last("record_key"), F.asc("issue_description")]
     found = first_per_group(
-        exceptions.select("rule_id", "detected_at", "record_key", "severity", "issue_description"),
-        "rule_id", order, n, "sample",
+        exceptions.select("rule_id", "detected_at", "record_key", "issue_description"), "rule_id", order, n, "sample"
     )
-    return rules.select("rule_id").join(found, "rule_id", "left").select(
-        "rule_id", "sample", "record_key", "severity", table_cell(F.col("issue_description")).alias("issue")
+    return rules.select("rule_id", "severity").join(found, "rule_id", "left").select(
+        "rule_id", "sample", "record_key", F.when(F.col("sample").isNotNull(), F.col("severity")).alias("severity"),
+        table_cell(F.col("issue_description")).alias("issue"),
     )
 
 
@@ -113,14 +118,64 @@ def kpi_metrics(dim_customer: DataFrame, fact_order: DataFrame, exceptions: Data
 
 
 def table_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Column names and types of each table as rows; row counts come from ``sources.raw.row_counts``."""
-    rows = [
-        (name, i, f.name, f.dataType.simpleString())
-        for name, df in tables.items()
-        for i, f in enumerate(df.schema.fields)
+    """Every column of every table: position, type, and how many rows of how many have a value. One pass per table."""
+    profiles = []
+    for name, df in tables.items():
+        filled = [F.count(F.col(f"`{f.name}`")).alias(f"c{i}") for i, f in enumerate(df.schema.fields)]
+        counts = df.agg(_rows().alias("n"), *filled)
+        columns = F.array(
+            *[
+                F.struct(
+                    F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
+                    F.lit(f.dataType.simpleString()).alias("data_type"), F.col(f"c{i}").alias("filled"),
+                )
+                for i, f in enumerate(df.schema.fields)
+            ]
+        )
+        profiles.append(counts.select(F.lit(name).alias("table_name"), "n", F.inline(columns)))
+    out = profiles[0]
+    for profile in profiles[1:]:
+        out = out.unionByName(profile)
+    return out.select("table_name", "position", "column_name", "data_type", F.col("n").alias("row_count"), "filled")
+
+
+def numbers_not_held(stg: Staging) -> DataFrame:
+    """Numbers of the feeds that the rules or the curated tables cannot hold as they are, with the reason.
+
+    Such a value is NULL (or rounded) there and no violation of a rule; here it is a row, so nothing is lost unseen.
+    """
+
+    def of(df: DataFrame, dataset: str, key: str, column: str, problem: Column) -> DataFrame:
+        return df.select(
+            F.lit(dataset).alias("dataset"), F.col(key).alias("record_key"), F.lit(column).alias("column_name"),
+            F.col(column).alias("raw"), problem.alias("problem"),
+        )
+
+    priced = stg.orders.select("order_id", "product_id", "quantity", "order_total").join(
+        prices(stg.products).select("product_id", "unit_price"), "product_id", "left"
+    )
+    calculated = numbers.times(numbers.to_whole(F.col("quantity")), to_decimal(F.col("unit_price")))
+    computed = priced.select(
+        "order_id", calculated.alias("calculated"), (to_decimal(F.col("order_total")) - calculated).alias("variance")
+    )
+
+    def too_large(name: str, column: str) -> DataFrame:
+        large = F.when(F.col(name).isNotNull() & numbers.to_money(F.col(name)).isNull(), F.lit("too large for the curated table"))
+        text = computed.withColumn(column, numbers.as_written(F.col(name), F.lit(8)))
+        return of(text, "orders", "order_id", column, large)
+
+    found = [
+        of(stg.orders, "orders", "order_id", "quantity", numbers.quantity_problem(F.col("quantity"))),
+        of(stg.orders, "orders", "order_id", "order_total", numbers.amount_problem(F.col("order_total"))),
+        too_large("calculated", "calculated_order_amount"),
+        too_large("variance", "order_amount_variance"),
+        of(stg.products, "products", "product_id", "unit_price", numbers.amount_problem(F.col("unit_price"))),
+        of(stg.payments, "payments", "payment_id", "amount", numbers.amount_problem(F.col("amount"))),
     ]
-    spark = next(iter(tables.values())).sparkSession
-    return spark.createDataFrame(rows, "table_name string, position int, column_name string, data_type string")
+    out = found[0]
+    for df in found[1:]:
+        out = out.unionByName(df)
+    return out.filter(F.col("problem").isNotNull())
 
 
 def reconcile_totals(stg: Staging, fact_order: DataFrame, fact_payment: DataFrame) -> DataFrame:
