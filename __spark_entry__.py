@@ -119,16 +119,20 @@ def _lineitem_winners(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _flat(q3: DataFrame) -> DataFrame:
-    """Lists as text, so both engines hash the same value."""
-    return q3.withColumns({c: F.array_join(c, "; ") for c in ("triggered_rules", "issues")})
+    """The list as text, so both engines hash the same value."""
+    return q3.withColumn("triggered_rules", F.array_join("triggered_rules", "; "))
 
 
-def _q3(stg: Staging) -> DataFrame:
-    return answers.q3_order_exceptions(
+def _issues(stg: Staging) -> DataFrame:
+    return answers.q3_order_issues(
         curate.fact_order(stg), _exceptions(stg, "orders", "payments"), curate.fact_payment(stg)
     )
 
 
+def _q3(stg: Staging) -> DataFrame:
+    return answers.q3_order_exceptions(curate.fact_order(stg), _issues(stg))
+
+
 def _q2(stg: Staging) -> DataFrame:
     return answers.q2_top_customers(curate.fact_order(stg), curate.dim_customer(stg))
 
@@ -158,13 +162,15 @@ def queries() -> dict[str, Query]:
         **_training_data_queries(),
         # sources and staging
         "ingest_row_counts": _on_staging(lambda stg: row_counts(_raw_tables(stg))),
-        "rule_registry_drift": _on_exceptions(lambda ex, rules: drift(rules, ex)),
+        "customer_id_drift": _on_staging(lambda stg: drift(stg.customers, stg.support_tickets, "customer_id")),
         "stg_customers_duplicates": _on_staging(lambda stg: stg.customers_duplicates),
         "stg_orders_duplicates": _on_staging(lambda stg: stg.orders_duplicates),
         # column rules
         "parse_timestamp_formats": _on_staging(_timestamps),
         "coerce_decimal": _on_staging(lambda stg: _column(stg.orders, "order_total", "amount", numbers.to_decimal)),
-        "coerce_integer": _on_staging(lambda stg: _column(stg.orders, "quantity", "number", numbers.to_int)),
+        "coerce_integer": _on_staging(
+            lambda stg: _column(stg.orders, "quantity", "number", lambda c: numbers.to_whole(c).cast("bigint"))
+        ),
         "standardize_country": _on_staging(
             lambda stg: _column(stg.customers, "country", "standard", geography.standardize_country)
         ),
@@ -202,6 +208,7 @@ def queries() -> dict[str, Query]:
         "q1_revenue_by_month": _on_staging(lambda stg: answers.q1_revenue_by_month(curate.fact_order(stg))),
         "q2_top_customers": _on_staging(_q2),
         "q3_order_exceptions": _on_staging(lambda stg: _flat(_q3(stg))),
+        "q3_order_issues": _on_staging(_issues),
         "q3_filtered_by_rule": _on_staging(
             lambda stg: _flat(answers.q3_filtered_by_rule(_q3(stg), ["DQ006", "DQ010"]))
         ),
@@ -231,6 +238,14 @@ def queries() -> dict[str, Query]:
         "reconcile_totals": _on_staging(
             lambda stg: report.reconcile_totals(stg, curate.fact_order(stg), curate.fact_payment(stg))
         ),
+        "numbers_not_held": _on_staging(report.numbers_not_held),
+        "table_profile": _on_staging(
+            lambda stg: report.table_profile({"dim_product": curate.dim_product(stg), "fact_payment": curate.fact_payment(stg)})
+        ),
+        "rule_samples_dq005": _on_exceptions(lambda ex, _: report.rule_samples(ex, "DQ005").drop("detected_at")),
+        "preview_dim_product": _on_staging(
+            lambda stg: report.preview(curate.dim_product(stg).orderBy("product_key", "unit_price"))
+        ),
         "finding_q1": _on_staging(
             lambda stg: answers.finding_q1(answers.q1_revenue_by_month(curate.fact_order(stg)))
         ),

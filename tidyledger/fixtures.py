@@ -36,19 +36,24 @@ def _raw(df: DataFrame, table: str, columns: dict[str, str]) -> DataFrame:
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _raw(
+    base = _raw(
         _read(spark, sf_dir, "part"),
         "products",
         {
             "product_id": "concat('P', p_partkey)",
             "product_name": "p_name",
             "category": "p_type",
-            "unit_price": "cast(cast(p_retailprice AS decimal(12,2)) AS string)",
+            "unit_price": "CASE WHEN p_partkey % 59 = 7 THEN 'n/a' WHEN p_partkey % 401 = 8 THEN '1.5e2' "
+            "ELSE cast(cast(p_retailprice AS decimal(12,2)) AS string) END",
             "active_flag": "CASE WHEN p_partkey % 10 = 0 THEN 'N' WHEN p_partkey % 10 = 1 THEN ' yes ' "
             "WHEN p_partkey % 31 = 5 THEN NULL ELSE 'Y' END",
-            "source_row": "p_partkey",
+            "source_row": "p_partkey * 2",
         },
     )
+    return base.selectExpr("*", _variants("source_row div 2 % 50 = 3")).selectExpr(
+        *[f"if(variant = 1, '1.00', {c}) AS {c}" if c == "unit_price" else c for c in RAW_COLUMNS["products"]],
+        "source_row + variant AS source_row",
+    )
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +66,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows,
         "customers",
         {
-            "customer_id": "concat('C', k)",
+            "customer_id": "if(k % 113 = 9, NULL, concat('C', k))",
             "first_name": "concat('First', person % 50)",
             "last_name": "concat('Last', person)",
             "email": "CASE WHEN k % 13 = 5 THEN NULL "
@@ -83,51 +88,59 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _order_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order with the price of the part that carries the customer's number (all parts exist)."""
+    """One row per order with the price of the part that carries the customer's number, 1.00 where there is none."""
     part = _read(spark, sf_dir, "part").selectExpr(
         "p_partkey AS c", "cast(p_retailprice AS decimal(12,2)) AS price"
     )
     orders = _read(spark, sf_dir, "orders").selectExpr(
         "o_orderkey AS o", "o_custkey AS c", "o_orderstatus AS status", "left(cast(o_orderdate AS string), 10) AS d"
     )
-    return orders.join(part, "c")
+    priced = orders.join(part, "c", "left")
+    return priced.selectExpr(
+        "o", "c", "status", "d",
+        "cast(coalesce(price, 1.00) * cast(if(o % 5 = 0, 2, o % 5) AS int) AS decimal(12,2)) AS due",
+    )
 
 
 _TOTAL = (
-    "if(o % 103 = 7, 'n/a', cast(cast(price * cast(if(o % 5 = 0, 2, o % 5) AS int) + if(o % 101 = 0, 6, 0) "
-    "AS decimal(12,2)) AS string))"
+    "CASE WHEN o % 103 = 7 THEN 'n/a' WHEN o % 317 = 12 THEN '123456789012345.67' "
+    "WHEN o % 331 = 13 THEN concat(due, '000001') WHEN o % 337 = 14 THEN '1.5e3' WHEN o % 347 = 15 THEN '1_000.00' "
+    "ELSE cast(cast(due + if(o % 101 = 0, 6, 0) AS decimal(12,2)) AS string) END"
 )
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order, and further rows of some: identical ones (1, 3), another state (2), another total (4, 5)."""
     us_date = "substr(d, 6, 2), '{0}', right(d, 2), '{0}', left(d, 4)"
-    base = _raw(
-        _order_base(spark, sf_dir),
+    state = _pick("c", "IL", "Illinois", "ca", "Texas", "WA", None, "Florida")
+    collides = "o % 67 = 1 AND c % 7 IN (0, 1)"
+    rows = _order_base(spark, sf_dir).selectExpr(
+        "*", _variants("o % 61 = 0", collides, "o % 183 = 0", "o % 71 = 7", "o % 142 = 7")
+    )
+    return _raw(
+        rows,
         "orders",
         {
-            "order_id": "concat('O', o)",
-            "customer_id": "if(o % 89 = 0, 'C-1', concat('C', c))",
+            "order_id": "if(o % 499 = 5, NULL, concat('O', o))",
+            "customer_id": "CASE WHEN o % 89 = 0 THEN 'C-1' WHEN o % 97 = 1 THEN NULL ELSE concat('C', c) END",
             "order_ts": "CASE o % 7 WHEN 0 THEN concat(d, ' 10:15:00') "
             f"WHEN 1 THEN concat({us_date.format('/')}, ' 14:20') WHEN 2 THEN concat(replace(d, '-', '/'), ' 09:00') "
             "WHEN 3 THEN concat(d, 'T16:45:00Z') WHEN 4 THEN concat(d, ' 11:30') "
-            f"WHEN 5 THEN concat({us_date.format('-')}, ' 16:30') ELSE if(o % 301 = 6, 'bad_timestamp', d) END",
-            "product_id": "if(o % 83 = 1, 'P-1', concat('P', c))",
+            f"WHEN 5 THEN concat({us_date.format('-')}, ' 16:30') ELSE CASE WHEN o % 301 = 6 THEN 'bad_timestamp' "
+            "WHEN o % 11 = 3 THEN concat(d, 'T08:30:00+02:00') ELSE d END END",
+            "product_id": "CASE WHEN o % 83 = 1 THEN 'P-1' WHEN o % 101 = 2 THEN NULL ELSE concat('P', c) END",
             "quantity": "CASE WHEN o % 71 = 2 THEN '-1' WHEN o % 73 = 3 THEN NULL WHEN o % 79 = 4 THEN '1.5' "
+            "WHEN o % 307 = 9 THEN '3000000000' WHEN o % 311 = 10 THEN '1e1' WHEN o % 313 = 11 THEN '1_0' "
+            "WHEN o % 353 = 16 THEN '123456789012345678' "
             "WHEN o % 5 = 0 THEN '2.0' ELSE cast(o % 5 AS string) END",
             "order_status": "CASE WHEN status = 'F' THEN 'completed' WHEN status = 'O' AND o % 10 = 0 THEN ' Completed ' "
             "WHEN status = 'O' THEN 'returned' ELSE 'cancelled' END",
-            "shipping_state": _pick("c", "IL", "Illinois", "ca", "Texas", "WA", None, "Florida"),
-            "order_total": _TOTAL,
-            "source_row": "o * 4",
+            "shipping_state": f"if(variant = 2, if(c % 7 = 0, 'NV', 'Nevada'), {state})",
+            "order_total": "CASE variant WHEN 4 THEN cast(cast(due + 1 AS decimal(12,2)) AS string) "
+            f"WHEN 5 THEN cast(cast(due - 5 AS decimal(12,2)) AS string) ELSE {_TOTAL} END",
+            "source_row": "o * 8 + variant",
         },
     )
-    o = "source_row div 4"
-    collides = f"{o} % 67 = 1 AND shipping_state IN ('IL', 'Illinois')"
-    variant_state = "if(variant = 2, if(shipping_state = 'IL', 'NV', 'Nevada'), shipping_state)"
-    return base.selectExpr("*", _variants(f"{o} % 61 = 0", collides)).selectExpr(
-        *[f"{variant_state} AS {c}" if c == "shipping_state" else c for c in RAW_COLUMNS["orders"]],
-        "source_row + variant AS source_row",
-    )
 
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,7 +155,8 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
             "payment_method": _pick("o", "card", "paypal", "apple_pay"),
             "payment_status": "CASE WHEN status = 'P' THEN 'voided' WHEN status = 'O' AND o % 20 = 0 THEN ' Settled ' "
             "WHEN status = 'O' AND o % 10 <> 0 THEN 'refunded' ELSE 'settled' END",
-            "amount": f"if(o % 107 = 0, '1.00', {_TOTAL})",
+            "amount": "CASE WHEN o % 107 = 0 THEN '1.00' WHEN o % 109 = 1 THEN cast(due + 0.01000001 AS string) "
+            f"WHEN o % 113 = 2 THEN cast(due + 0.01 AS string) ELSE {_TOTAL} END",
             "source_row": "o",
         },
     )

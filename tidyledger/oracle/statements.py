@@ -20,7 +20,7 @@ def _rule(rule_id: str) -> str:
     reads = {
         "DQ004": ("fx_orders",), "DQ005": ("fx_orders", "fx_customers"), "DQ006": ("fx_orders", "fx_products"),
         "DQ007": ("fx_orders",), "DQ008": ("fx_orders", "prices"), "DQ009": ("fx_payments", "fx_orders"),
-        "DQ010": ("fx_payments", "orders_kept"), "DQ011": ("fx_tickets",), "DQ012": ("fx_tickets", "fx_customers"),
+        "DQ010": ("fx_payments", "fx_orders"), "DQ011": ("fx_tickets",), "DQ012": ("fx_tickets", "fx_customers"),
     }.get(rule_id, ("fx_customers",))
     return query(sql, *reads)
 
@@ -50,14 +50,11 @@ _LINE = (
     "o.calculated_order_amount, o.order_amount_variance"
 )
 
-_Q3 = f"""SELECT {_LINE}, list(DISTINCT e.rule_id ORDER BY e.rule_id) AS rule_list,
-  list(DISTINCT e.issue_description ORDER BY e.issue_description) AS issue_list
+_ISSUES = f"SELECT DISTINCT * FROM ({_ALL_EX}) WHERE order_key IN (SELECT order_key FROM fact_order)"
+_Q3 = f"""SELECT {_LINE}, list(DISTINCT e.rule_id ORDER BY e.rule_id) AS rule_list, count(DISTINCT (e.rule_id, e.issue_description)) AS issue_count
 FROM fact_order o JOIN ({_ALL_EX}) e ON o.order_key = e.order_key GROUP BY ALL"""
 _Q3_READS = ("fact_order", "fact_payment", "exceptions")
-_Q3_FLAT = (
-    "SELECT * EXCLUDE (rule_list, issue_list), array_to_string(rule_list, '; ') AS triggered_rules, "
-    f"array_to_string(issue_list, '; ') AS issues FROM ({_Q3})"
-)
+_Q3_FLAT = f"SELECT * EXCLUDE (rule_list), array_to_string(rule_list, '; ') AS triggered_rules FROM ({_Q3})"
 
 _Q4 = f"""SELECT shipping_state AS state, {_AMOUNT} AS completed_revenue, count(*) AS completed_orders
 FROM fact_order WHERE order_status = 'completed' AND shipping_state IS NOT NULL GROUP BY 1"""
@@ -78,6 +75,46 @@ _Q5 = f"""SELECT cohort, count(DISTINCT customer_key) AS customer_count, CAST(su
   {_PERCENT.format("sum(orders_with_exception)", "sum(total_orders)")} AS pct_orders_with_exception
 FROM ({_DETAIL}) GROUP BY cohort"""
 
+# Columns and types of the profiled tables.
+_PROFILED = {
+    "dim_product": (
+        ("product_key", "string"), ("product_name", "string"), ("category", "string"), ("unit_price", "decimal(12,2)"),
+        ("active_flag", "boolean"),
+    ),
+    "fact_payment": (
+        ("payment_key", "string"), ("order_key", "string"), ("payment_date", "date"), ("payment_method", "string"),
+        ("payment_status", "string"), ("payment_amount", "decimal(12,2)"),
+    ),
+}
+
+
+def _held(table: str, dataset: str, key: str, column: str) -> str:
+    """Amounts that a type does not hold."""
+    working, exact = t.number(column), t.number(column, "DECIMAL(38,18)")
+    problem = (
+        f"CASE WHEN {working} IS NULL THEN 'too large to be checked' WHEN {t.money(working)} IS NULL "
+        f"THEN 'too large for the curated table' WHEN {exact} <> {working} THEN 'checked at 8 decimals' END"
+    )
+    return f"""SELECT '{dataset}' AS dataset, {key} AS record_key, '{column}' AS column_name, {column} AS raw, {problem} AS problem
+FROM {table} WHERE {t.is_number(column)}"""
+
+
+_CALCULATED = f"""SELECT o.order_id, {t.product(t.whole('o.quantity'), 'p.price')} AS calculated, {t.number('o.order_total')} AS total
+FROM fx_orders o JOIN prices p ON p.product_id = o.product_id"""
+_NOT_HELD = f"""SELECT * FROM (
+  SELECT 'orders' AS dataset, order_id AS record_key, 'quantity' AS column_name, quantity AS raw,
+    CASE WHEN {t.oversized('quantity')} THEN 'too large to be checked'
+         WHEN {t.whole('quantity')} IS NOT NULL AND {t.integer('quantity')} IS NULL THEN 'too large for the curated table' END AS problem
+  FROM fx_orders
+  UNION ALL {_held('fx_orders', 'orders', 'order_id', 'order_total')}
+  UNION ALL {_held('fx_products', 'products', 'product_id', 'unit_price')}
+  UNION ALL {_held('fx_payments', 'payments', 'payment_id', 'amount')}
+  UNION ALL SELECT 'orders', order_id, 'calculated_order_amount', CAST(CAST(calculated AS DECIMAL(38,8)) AS VARCHAR),
+    CASE WHEN calculated IS NOT NULL AND {t.money('calculated')} IS NULL THEN 'too large for the curated table' END FROM ({_CALCULATED})
+  UNION ALL SELECT 'orders', order_id, 'order_amount_variance', CAST(CAST(total - calculated AS DECIMAL(38,8)) AS VARCHAR),
+    CASE WHEN total - calculated IS NOT NULL AND {t.money('total - calculated')} IS NULL THEN 'too large for the curated table' END
+  FROM ({_CALCULATED})) WHERE problem IS NOT NULL"""
+
 _CURATED = ("dim_customer", "dim_product", "fact_order", "fact_payment", "fact_customer_issue")
 _CELL = "replace(issue_description, '|', '\\|')"
 _MONEY = "'$' || format('{{:,.2f}}', CAST({} AS DOUBLE))"
@@ -94,10 +131,12 @@ def statements() -> dict[str, str]:
             ),
             "fx_customers", "fx_products", "fx_orders", "fx_payments", "fx_tickets",
         ),
-        "rule_registry_drift": query(
-            """SELECT rule_id, 'only on the left' AS problem FROM (SELECT rule_id FROM rules EXCEPT SELECT rule_id FROM exceptions)
-UNION ALL SELECT rule_id, 'only on the right' FROM (SELECT rule_id FROM exceptions EXCEPT SELECT rule_id FROM rules)""",
-            "exceptions",
+        "customer_id_drift": query(
+            """SELECT customer_id, 'only on the left' AS problem FROM (SELECT customer_id FROM fx_customers EXCEPT SELECT customer_id FROM fx_tickets)
+WHERE customer_id IS NOT NULL
+UNION ALL SELECT customer_id, 'only on the right' FROM (SELECT customer_id FROM fx_tickets EXCEPT SELECT customer_id FROM fx_customers)
+WHERE customer_id IS NOT NULL""",
+            "fx_customers", "fx_tickets",
         ),
         "stg_customers_duplicates": query(
             "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY source_row) AS rn "
@@ -120,7 +159,7 @@ UNION ALL SELECT rule_id, 'only on the right' FROM (SELECT rule_id FROM exceptio
             f"SELECT source_row, order_total AS raw, {t.number('order_total')} AS amount FROM fx_orders", "fx_orders"
         ),
         "coerce_integer": query(
-            f"SELECT source_row, quantity AS raw, {t.integer('quantity')} AS number FROM fx_orders", "fx_orders"
+            f"SELECT source_row, quantity AS raw, CAST({t.whole('quantity')} AS BIGINT) AS number FROM fx_orders", "fx_orders"
         ),
         "standardize_country": query(
             f"SELECT source_row, country AS raw, {t.country('country')} AS standard FROM fx_customers", "fx_customers"
@@ -178,6 +217,7 @@ FROM exceptions""",
         "q1_revenue_by_month": query(_Q1, "fact_order"),
         "q2_top_customers": query(_Q2, "fact_order", "dim_customer"),
         "q3_order_exceptions": query(_Q3_FLAT, *_Q3_READS),
+        "q3_order_issues": query(_ISSUES, *_Q3_READS),
         "q3_filtered_by_rule": query(
             f"SELECT * FROM ({_Q3_FLAT}) WHERE triggered_rules LIKE '%DQ006%' OR triggered_rules LIKE '%DQ010%'", *_Q3_READS
         ),
@@ -247,6 +287,20 @@ FROM rules r LEFT JOIN (
     (SELECT coalesce(sum({t.number('amount')}), 0) FROM fx_payments WHERE payment_status = 'settled'))""",
             "fact_order", "fx_orders", "fact_payment", "fx_payments",
         ),
+        "numbers_not_held": query(_NOT_HELD, "fx_orders", "fx_products", "fx_payments", "prices"),
+        "table_profile": query(
+            " UNION ALL ".join(
+                f"SELECT '{table}' AS table_name, CAST({i} AS INTEGER) AS position, '{column}' AS column_name, '{kind}' AS data_type, "
+                f"(SELECT count(*) FROM {table}) AS row_count, (SELECT count({column}) FROM {table}) AS filled"
+                for table, columns in _PROFILED.items()
+                for i, (column, kind) in enumerate(columns)
+            ),
+            *_PROFILED,
+        ),
+        "rule_samples_dq005": query(
+            "SELECT * FROM exceptions WHERE rule_id = 'DQ005' ORDER BY record_key NULLS LAST, issue_description LIMIT 5", "exceptions"
+        ),
+        "preview_dim_product": query("SELECT * FROM dim_product ORDER BY product_key, unit_price LIMIT 100", "dim_product"),
         "finding_q1": query(
             f"""SELECT CASE WHEN count(*) = 0 THEN 'No completed orders with valid order dates were found.' ELSE
   'Total completed revenue is ' || {_MONEY.format('sum(completed_revenue)')} || ' across ' || CAST(sum(completed_orders) AS VARCHAR)
@@ -263,9 +317,8 @@ FROM ({_Q2}) ORDER BY completed_value DESC NULLS LAST, customer_key LIMIT 1""",
         ),
         "finding_q3": query(
             f"""SELECT CASE WHEN count(*) = 0 THEN 'No orders triggered data-quality or reconciliation exceptions.' ELSE
-  count(*) || ' distinct orders triggered at least one exception. ' || CASE WHEN count(*) <= 1000
-  THEN 'Affected order keys: ' || string_agg(order_key, ', ' ORDER BY order_key) || '.'
-  ELSE 'Affected order keys are in q3_order_exceptions.' END END AS finding FROM ({_Q3})""",
+  count(*) || ' distinct orders triggered at least one exception. Affected order keys are in q3_order_exceptions.' END AS finding
+FROM ({_Q3})""",
             *_Q3_READS,
         ),
         "finding_q4": query(

@@ -2,17 +2,32 @@
 
 from __future__ import annotations
 
-from tidyledger.functions.contact import ACTIVE, EMAIL_LAST_CHARACTER, EMAIL_PATTERN, RESERVED_LAST_LABELS
-from tidyledger.functions.geography import STATE_CODES, USA_SPELLINGS
 from tidyledger.oracle import feeds
 from tidyledger.rules.registry import ACTIONS, RULES
 
+# Fixed values, stated here once more so that the oracle does not check constants against themselves: timestamp formats,
+# spellings of USA, state codes and names, last labels of addresses reserved for special use, words for active.
 _FORMATS = (
-    "%Y-%m-%dT%H:%M:%SZ", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d %H:%M:%S", "%Y-%m-%d %H:%M", "%Y/%m/%d %H:%M:%S",
+    "%Y-%m-%dT%H:%M:%S+02:00", "%Y-%m-%dT%H:%M:%SZ", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d %H:%M:%S", "%Y-%m-%d %H:%M", "%Y/%m/%d %H:%M:%S",
     "%Y/%m/%d %H:%M", "%m/%d/%Y %H:%M", "%m-%d-%Y %H:%M", "%Y-%m-%d", "%Y/%m/%d", "%m/%d/%Y", "%m-%d-%Y",
 )
 
 
+_USA = ("united states of america", "united states", "usa", "us", "u.s.a.", "u.s.")
+_ACTIVE = ("1", "TRUE", "Y", "YES")
+_RESERVED = ("test", "localhost", "local", "invalid", "arpa", "onion")
+_STATES = """
+AL Alabama, AK Alaska, AZ Arizona, AR Arkansas, CA California, CO Colorado, CT Connecticut, DE Delaware,
+DC District of Columbia, FL Florida, GA Georgia, HI Hawaii, ID Idaho, IL Illinois, IN Indiana, IA Iowa, KS Kansas,
+KY Kentucky, LA Louisiana, ME Maine, MD Maryland, MA Massachusetts, MI Michigan, MN Minnesota, MS Mississippi,
+MO Missouri, MT Montana, NE Nebraska, NV Nevada, NH New Hampshire, NJ New Jersey, NM New Mexico, NY New York,
+NC North Carolina, ND North Dakota, OH Ohio, OK Oklahoma, OR Oregon, PA Pennsylvania, RI Rhode Island,
+SC South Carolina, SD South Dakota, TN Tennessee, TX Texas, UT Utah, VT Vermont, VA Virginia, WA Washington,
+WV West Virginia, WI Wisconsin, WY Wyoming
+"""
+_STATE_OF = [entry.strip().split(" ", 1) for entry in _STATES.replace("\n", " ").split(",")]
+
+
 def q(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -33,13 +48,40 @@ def date(c: str) -> str:
     return f"CAST({timestamp(c)} AS DATE)"
 
 
-def number(c: str, kind: str = "DECIMAL(20,6)") -> str:
+def number(c: str, kind: str = "DECIMAL(23,8)") -> str:
     return f"TRY_CAST(replace({strip(c)}, '_', '') AS {kind})"
 
 
+def whole(c: str) -> str:
+    d = number(c, "DECIMAL(38,18)")
+    return f"CASE WHEN {d} = floor({d}) THEN TRY_CAST({d} AS DECIMAL(14,0)) END"
+
+
 def integer(c: str) -> str:
+    return f"TRY_CAST({whole(c)} AS INTEGER)"
+
+
+def product(quantity: str, price: str) -> str:
+    return f"CAST({quantity} * {price} AS DECIMAL(37,8))"
+
+
+def is_number(c: str) -> str:
+    return f"coalesce(regexp_full_match(replace({strip(c)}, '_', ''), '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?'), FALSE)"
+
+
+def oversized(c: str) -> str:
     d = number(c, "DECIMAL(38,18)")
-    return f"CASE WHEN {d} = floor({d}) THEN TRY_CAST({d} AS INTEGER) END"
+    return f"({is_number(c)} AND {whole(c)} IS NULL AND coalesce({d} = floor({d}), TRUE))"
+
+
+def places(c: str) -> str:
+    text = f"replace({strip(c)}, '_', '')"
+    return f"CASE WHEN regexp_matches({text}, '[eE]') THEN 8 ELSE least(length(regexp_extract({text}, '[.]([0-9]+)$', 1)), 8) END"
+
+
+def written(amount: str, decimals: str) -> str:
+    text = f"CAST(CAST({amount} AS DECIMAL(38,8)) AS VARCHAR)"
+    return f"left({text}, length({text}) - 8 + ({decimals}) - CASE WHEN ({decimals}) = 0 THEN 1 ELSE 0 END)"
 
 
 def money(expr: str) -> str:
@@ -48,14 +90,14 @@ def money(expr: str) -> str:
 
 def country(c: str) -> str:
     return (
-        f"CASE WHEN lower({strip(c)}) IN ({q_list(USA_SPELLINGS)}) THEN 'USA' ELSE nullif({strip(c)}, '') END"
+        f"CASE WHEN lower({strip(c)}) IN ({q_list(_USA)}) THEN 'USA' ELSE nullif({strip(c)}, '') END"
     )
 
 
 def state(c: str) -> str:
-    names = " ".join(f"WHEN {q(name)} THEN {q(code)}" for name, code in STATE_CODES.items())
+    names = " ".join(f"WHEN {q(name.lower())} THEN {q(code)}" for code, name in _STATE_OF)
     return (
-        f"CASE WHEN upper({strip(c)}) IN ({q_list(STATE_CODES.values())}) THEN upper({strip(c)}) "
+        f"CASE WHEN upper({strip(c)}) IN ({q_list(code for code, _ in _STATE_OF)}) THEN upper({strip(c)}) "
         f"ELSE CASE lower({strip(c)}) {names} ELSE nullif({strip(c)}, '') END END"
     )
 
@@ -65,12 +107,21 @@ def email(c: str) -> str:
 
 
 def email_ok(c: str) -> str:
+    """Checked part by part: atoms before the sign, labels after it."""
     s = strip(c)
-    reserved = q_list("." + label for label in RESERVED_LAST_LABELS)
-    ends = " OR ".join(f"ends_with(lower({s}), {label})" for label in reserved.split(", "))
+    local, domain = f"split_part({s}, '@', 1)", f"split_part({s}, '@', 2)"
+    atom, letter = "[\\p{L}\\p{M}\\p{N}!#$%&''*+/=?^_`{|}~-]+", "[\\p{L}\\p{M}\\p{N}-]+"
+    atoms = f"list_bool_and(list_transform(string_split({local}, '.'), lambda x: regexp_full_match(x, '{atom}')))"
+    label = (
+        f"regexp_full_match(x, '{letter}') AND length(x) <= 63 AND NOT starts_with(x, '-') AND NOT ends_with(x, '-') "
+        "AND regexp_matches(x, '^[\\p{L}\\p{N}]')"
+    )
+    labels = f"list_bool_and(list_transform(string_split({domain}, '.'), lambda x: {label}))"
+    last = f"lower(string_split({domain}, '.')[-1])"
     return (
-        f"coalesce(regexp_matches({s}, {q(EMAIL_PATTERN)}) AND regexp_matches({s}, {q(EMAIL_LAST_CHARACTER)}) "
-        f"AND length({s}) <= 254 AND length(split_part({s}, '@', 1)) <= 64 AND NOT ({ends}), FALSE)"
+        f"coalesce(len(string_split({s}, '@')) = 2 AND {atoms} AND {labels} AND len(string_split({domain}, '.')) >= 2 "
+        f"AND regexp_matches({s}, '\\p{{L}}$') AND length({s}) <= 254 AND length({local}) <= 64 AND length({domain}) <= 253 "
+        f"AND {last} NOT IN ({q_list(_RESERVED)}), FALSE)"
     )
 
 
@@ -87,23 +138,23 @@ FROM (SELECT * FROM fx_customers QUALIFY row_number() OVER (PARTITION BY custome
 
 DIM_PRODUCT = f"""
 SELECT product_id AS product_key, product_name, category, {money(number('unit_price'))} AS unit_price,
-  coalesce(upper({strip('active_flag')}) IN ({q_list(ACTIVE)}), FALSE) AS active_flag
+  coalesce(upper({strip('active_flag')}) IN ({q_list(_ACTIVE)}), FALSE) AS active_flag
 FROM fx_products
 """
 
 ORDERS_KEPT = f"SELECT * FROM fx_orders QUALIFY row_number() OVER (PARTITION BY {_KEPT} ORDER BY source_row) = 1"
 
 PRICES = f"""
-SELECT product_id, {number('unit_price')} AS price FROM fx_products
+SELECT product_id, unit_price, {number('unit_price')} AS price FROM fx_products
 QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY source_row) = 1
 """
 
 FACT_ORDER = f"""
 SELECT order_id AS order_key, customer_id AS customer_key, o.product_id AS product_key, order_date, quantity,
   order_status, shipping_state, {money('gross')} AS gross_order_amount,
-  {money('quantity * price')} AS calculated_order_amount, {money('gross - quantity * price')} AS order_amount_variance
-FROM (SELECT order_id, customer_id, product_id, {date('order_ts')} AS order_date, {integer('quantity')} AS quantity,
-        order_status, {state('shipping_state')} AS shipping_state, {number('order_total')} AS gross
+  {money(product('n', 'price'))} AS calculated_order_amount, {money('gross - ' + product('n', 'price'))} AS order_amount_variance
+FROM (SELECT order_id, customer_id, product_id, {date('order_ts')} AS order_date, {whole('quantity')} AS n,
+        {integer('quantity')} AS quantity, order_status, {state('shipping_state')} AS shipping_state, {number('order_total')} AS gross
       FROM orders_kept) o
 LEFT JOIN prices p ON p.product_id = o.product_id
 """
@@ -132,55 +183,62 @@ def _done(c: str, word: str) -> str:
 # Each rule: (record_key, issue_description).
 RULE_SQL = {
     "DQ001": """
-SELECT customer_id AS record_key, 'Duplicate customer_id=' || customer_id || '; this row (email='
+SELECT customer_id AS record_key, 'Duplicate customer_id=' || coalesce(customer_id, '<missing>') || '; this row (email='
   || coalesce(email, '<missing>') || ') was dropped in favour of the canonical first occurrence.' AS issue_description
 FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY source_row) AS rn FROM fx_customers) WHERE rn > 1""",
     "DQ002": f"""
-SELECT customer_id AS record_key, CASE WHEN {email('email')} IS NULL THEN 'customer_id=' || customer_id || ': email is missing.'
-  ELSE 'customer_id=' || customer_id || ': email ''' || email || ''' failed syntactic validation.' END AS issue_description
+SELECT customer_id AS record_key, CASE WHEN {email('email')} IS NULL THEN 'customer_id=' || coalesce(customer_id, '<missing>') || ': email is missing.'
+  ELSE 'customer_id=' || coalesce(customer_id, '<missing>') || ': email ''' || email || ''' failed syntactic validation.' END AS issue_description
 FROM fx_customers WHERE NOT {email_ok('email')}""",
     "DQ003": f"""
-SELECT customer_id AS record_key, 'customer_id=' || customer_id || ': ' || concat_ws('; ',
+SELECT customer_id AS record_key, 'customer_id=' || coalesce(customer_id, '<missing>') || ': ' || concat_ws('; ',
     CASE WHEN bad_c THEN 'country ''' || country || ''' standardized to ''' || sc || '''' END,
     CASE WHEN bad_s THEN 'state ''' || state || ''' standardized to ''' || ss || '''' END) || '.' AS issue_description
 FROM (SELECT *, coalesce({strip('country')} <> sc, FALSE) AS bad_c, coalesce({strip('state')} <> ss, FALSE) AS bad_s
       FROM (SELECT *, {country('country')} AS sc, {state('state')} AS ss FROM fx_customers))
 WHERE bad_c OR bad_s""",
     "DQ004": f"""
-SELECT order_id AS record_key, 'Duplicate order_id=' || order_id || CASE WHEN same > 1
+SELECT order_id AS record_key, 'Duplicate order_id=' || coalesce(order_id, '<missing>') || CASE WHEN same > 1
   THEN '; identical row was dropped (no information lost).'
   ELSE '; later occurrence with different attributes was dropped in favour of the canonical first row.' END AS issue_description
 FROM (SELECT *, row_number() OVER (PARTITION BY {_KEPT} ORDER BY source_row) AS same,
         row_number() OVER (PARTITION BY order_id ORDER BY source_row) AS nth FROM fx_orders) WHERE same > 1 OR nth > 1""",
     "DQ005": """
-SELECT order_id AS record_key, 'order_id=' || order_id || CASE WHEN customer_id IS NULL THEN ': customer_id is missing.'
+SELECT order_id AS record_key, 'order_id=' || coalesce(order_id, '<missing>') || CASE WHEN customer_id IS NULL THEN ': customer_id is missing.'
   ELSE ': customer_id ''' || customer_id || ''' not found in customers.' END AS issue_description
 FROM fx_orders o WHERE NOT EXISTS (SELECT 1 FROM fx_customers c WHERE c.customer_id = o.customer_id)""",
     "DQ006": """
-SELECT order_id AS record_key, 'order_id=' || order_id || CASE WHEN product_id IS NULL THEN ': product_id is missing.'
+SELECT order_id AS record_key, 'order_id=' || coalesce(order_id, '<missing>') || CASE WHEN product_id IS NULL THEN ': product_id is missing.'
   ELSE ': product_id ''' || product_id || ''' not found in products.' END AS issue_description
 FROM fx_orders o WHERE NOT EXISTS (SELECT 1 FROM fx_products p WHERE p.product_id = o.product_id)""",
     "DQ007": f"""
-SELECT order_id AS record_key, 'order_id=' || order_id || ': completed-order quantity ' || CASE
-    WHEN quantity IS NULL THEN 'is missing.' WHEN n IS NULL THEN '''' || quantity || ''' is not a valid integer.'
-    ELSE CAST(n AS VARCHAR) || ' is not positive.' END AS issue_description
-FROM (SELECT order_id, quantity, {integer('quantity')} AS n FROM fx_orders WHERE {_done('order_status', 'completed')})
-WHERE n IS NULL OR n <= 0""",
+SELECT order_id AS record_key, 'order_id=' || coalesce(order_id, '<missing>') || ': completed-order quantity ' || CASE
+    WHEN quantity IS NULL THEN 'is missing.' WHEN n <= 0 THEN CAST(n AS VARCHAR) || ' is not positive.'
+    WHEN large THEN replace({strip('quantity')}, '_', '') || ' is not positive.'
+    ELSE '''' || quantity || ''' is not a valid integer.' END AS issue_description
+FROM (SELECT order_id, quantity, {whole('quantity')} AS n, {oversized('quantity')} AS large
+      FROM fx_orders WHERE {_done('order_status', 'completed')})
+WHERE quantity IS NULL OR n <= 0 OR (n IS NULL AND (NOT large OR starts_with({strip('quantity')}, '-')))""",
     "DQ008": f"""
-SELECT order_id AS record_key, 'order_id=' || order_id || ': order_total=' || {strip('order_total')} || ' vs quantity*unit_price='
-  || CAST({money('n * price')} AS VARCHAR) || ' (diff=' || CAST({money('total - n * price')} AS VARCHAR) || ').' AS issue_description
-FROM (SELECT o.*, p.price, {integer('quantity')} AS n, {number('order_total')} AS total
-      FROM fx_orders o JOIN prices p ON p.product_id = o.product_id) WHERE abs(total - n * price) > 0.01""",
+SELECT order_id AS record_key, 'order_id=' || coalesce(order_id, '<missing>') || ': order_total=' || replace({strip('order_total')}, '_', '')
+  || ' vs quantity*unit_price=' || {written('calculated', places('unit_price'))} || ' (diff='
+  || {written('total - calculated', f"greatest({places('order_total')}, {places('unit_price')})")} || ').' AS issue_description
+FROM (SELECT o.*, p.unit_price, {number('order_total')} AS total, {product(whole('quantity'), 'p.price')} AS calculated
+      FROM fx_orders o JOIN prices p ON p.product_id = o.product_id) WHERE abs(total - calculated) > 0.01""",
     "DQ009": """
 SELECT payment_id AS record_key, CASE WHEN order_id IS NULL THEN 'payment_id=' || payment_id || ': payment order_id is missing.'
   ELSE 'Orphan payment: order_id=' || order_id || ' not found in orders (payment_id=' || payment_id || ').' END AS issue_description
 FROM fx_payments p WHERE NOT EXISTS (SELECT 1 FROM fx_orders o WHERE o.order_id = p.order_id)""",
     "DQ010": f"""
-SELECT payment_id AS record_key, 'payment_id=' || payment_id || ': settled payment ' || {strip('amount')}
-  || ' != completed order total ' || {strip('order_total')} || ' (diff=' || CAST({money('total - paid')} AS VARCHAR) || ').' AS issue_description
-FROM (SELECT payment_id, amount, order_total, {number('amount')} AS paid, {number('order_total')} AS total
-      FROM fx_payments p JOIN orders_kept o ON o.order_id = p.order_id
-      WHERE {_done('payment_status', 'settled')} AND {_done('order_status', 'completed')})
+SELECT payment_id AS record_key, 'payment_id=' || payment_id || ': settled payment ' || replace({strip('amount')}, '_', '')
+  || ' != completed order total ' || replace({strip('order_total')}, '_', '') || ' (diff='
+  || {written('total - paid', f"greatest({places('amount')}, {places('order_total')})")} || ').' AS issue_description
+FROM (SELECT p.payment_id, p.amount, {number('p.amount')} AS paid, o.order_total, {number('o.order_total')} AS total
+      FROM fx_payments p JOIN fx_orders o ON o.order_id = p.order_id
+      WHERE {_done('payment_status', 'settled')} AND {_done('order_status', 'completed')}
+        AND {number('p.amount')} IS NOT NULL AND {number('o.order_total')} IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY p.source_row ORDER BY abs({number('o.order_total')} - {number('p.amount')}) DESC,
+        {number('o.order_total')} DESC, o.order_total) = 1)
 WHERE abs(total - paid) > 0.01""",
     "DQ011": f"""
 SELECT ticket_id AS record_key, 'ticket_id=' || ticket_id || CASE WHEN coalesce({strip('created_ts')}, '') = ''
