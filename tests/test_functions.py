@@ -83,7 +83,7 @@ def python_decimal(value):
 
 def test_decimals(rows):
     got = apply(rows, lambda c: numbers.to_decimal(c), NUMBERS)
-    want = [None if (d := python_decimal(v)) is None else d.quantize(Decimal("0.000001")) for v in NUMBERS]
+    want = [None if (d := python_decimal(v)) is None else d.quantize(Decimal("0.00000001")) for v in NUMBERS]
     assert dict(zip(NUMBERS, got)) == dict(zip(NUMBERS, want))
 
 
@@ -92,19 +92,42 @@ def test_integers(rows):
     want = [None if (d := python_decimal(v)) is None or d != d.to_integral_value() else int(d) for v in NUMBERS]
     assert dict(zip(NUMBERS, got)) == dict(zip(NUMBERS, want))
     assert apply(rows, numbers.to_int, ["99999999999"]) == [None]
+    large = ["3000000000", "99999999999999", "100000000000000", "-3000000000.0", "1e13"]
+    assert apply(rows, numbers.to_whole, large) == [3000000000, 99999999999999, None, -3000000000, 10**13]
+
+
+def test_numbers_are_told_from_junk_whatever_their_size(rows):
+    want = [v is not None and python_decimal(v) is not None for v in NUMBERS]
+    assert dict(zip(NUMBERS, apply(rows, numbers.is_number, NUMBERS))) == dict(zip(NUMBERS, want))
+    assert apply(rows, numbers.is_number, ["9" * 60, "1e300", "-" + "9" * 20 + ".5"]) == [True] * 3
+
+
+def test_numbers_without_room_have_a_reason(rows):
+    amounts = ["12.00", "9999999999.99", "12345678901.00", "123456789012345.67", "9" * 16, "1e300", "0.123456789", "x", None]
+    assert apply(rows, numbers.amount_problem, amounts) == [
+        None, None, "too large for the curated table", "too large for the curated table", "too large to be checked",
+        "too large to be checked", "checked at 8 decimals", None, None,
+    ]
+    quantities = ["2", "2.5", "3000000000", "9" * 15, "9" * 30, "-" + "9" * 15, "1e40", "x", None]
+    assert apply(rows, numbers.quantity_problem, quantities) == [
+        None, None, "too large for the curated table", *["too large to be checked"] * 4, None, None,
+    ]
 
 
 def test_amounts_print_as_written(rows):
     values = ["50.00", "50", "-6.5", "0.125", "-0.50", "12.1234567"]
     shown = apply(rows, lambda c: numbers.as_written(numbers.to_decimal(c), numbers.decimals_in(c)), values)
-    assert shown == ["50.00", "50", "-6.5", "0.125", "-0.50", "12.123457"]
-    assert apply(rows, lambda c: numbers.as_written(numbers.to_decimal(c), numbers.decimals_in(c)), ["1e3"]) == ["1000.000000"]
+    assert shown == ["50.00", "50", "-6.5", "0.125", "-0.50", "12.1234567"]
+    assert apply(rows, lambda c: numbers.as_written(numbers.to_decimal(c), numbers.decimals_in(c)), ["1e3"]) == ["1000.00000000"]
 
 
 def test_tolerance_is_strict(rows):
-    df = rows("a string, b string", ("1.00", "1.01"), ("1.00", "1.011"), ("1.01", "1.00"), ("1.00", "x"))
+    df = rows(
+        "a string, b string", ("1.00", "1.01"), ("1.00", "1.011"), ("1.01", "1.00"), ("1.00", "x"), ("10.00", "10.01000001"),
+        ("123456789012345.67", "123456789012345.69"),
+    )
     got = df.select(numbers.disagree(numbers.to_decimal(F.col("a")), numbers.to_decimal(F.col("b")))).collect()
-    assert [r[0] for r in got] == [False, True, False, None]
+    assert [r[0] for r in got] == [False, True, False, None, True, True]
 
 
 def test_geography(rows):

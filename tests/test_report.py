@@ -58,7 +58,9 @@ def test_kpis_on_empty_tables(spark, exceptions):
 
 
 def test_profile_and_preview(spark, exceptions):
-    rows = report.table_profile({"e": exceptions}).orderBy("position").collect()
-    assert [(r.column_name, r.data_type) for r in rows][:2] == [("rule_id", "string"), ("dataset", "string")]
-    assert rows[-1].data_type == "timestamp_ntz"
+    rows = report.table_profile({"e": exceptions, "none": exceptions.limit(0)}).orderBy("table_name", "position").collect()
+    assert [(r.column_name, r.data_type, r.row_count, r.filled) for r in rows][:3] == [
+        ("rule_id", "string", 11, 11), ("dataset", "string", 11, 11), ("record_key", "string", 11, 10),
+    ]
+    assert rows[6].data_type == "timestamp_ntz" and len(rows) == 14 and rows[-1].row_count == rows[-1].filled == 0
     assert report.preview(exceptions, 3).count() == 3

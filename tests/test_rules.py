@@ -7,6 +7,7 @@ from datetime import datetime
 import pytest
 from feeds import staging
 
+from tidyledger.plans.report import numbers_not_held
 from tidyledger.rules.registry import ACTIONS, RULE_IDS, RULES, drift, load_registry, registry
 from tidyledger.rules.run import find_violations, run_rules, with_severity_rank
 from tidyledger.schemas import EXCEPTIONS, struct_of
@@ -136,36 +137,62 @@ def test_dq010(spark):
         {"payment_id": "PMT7", "order_id": None, "amount": "1"},
     ]
     stg = staging(spark, orders=orders, payments=payments)
-    first = ("PMT1", "payment_id=PMT1: settled payment 14.00 != completed order total 20.00 (diff=6.00).")
-    # O1 keeps two different rows (the identical one is dropped), so its payment is compared twice.
     assert found(stg, "DQ010") == [
-        first, first, ("PMT4", "payment_id=PMT4: settled payment 44.00 != completed order total 50 (diff=6.00)."),
+        ("PMT1", "payment_id=PMT1: settled payment 14.00 != completed order total 20.00 (diff=6.00)."),
+        ("PMT4", "payment_id=PMT4: settled payment 44.00 != completed order total 50 (diff=6.00)."),
     ]
     both = find_violations(stg, ["DQ009", "DQ010"]).collect()
-    assert sorted(r.rule_id for r in both) == ["DQ009", "DQ010", "DQ010", "DQ010"]
+    assert sorted(r.rule_id for r in both) == ["DQ009", "DQ010", "DQ010"]
+
+
+@pytest.mark.parametrize("copies", [1, 300])
+def test_dq010_names_the_total_that_differs_most_however_many_there_are(spark, copies):
+    """One definition at every size: each settled payment that disagrees with some total gives one exception."""
+    totals = ["10.00", "10.005", "10.01", "10.02", "20", "n/a", "10.00", "9.99", "9.98"] * copies
+    orders = [{"order_id": "O1", "order_total": t, "shipping_state": f"s{i}"} for i, t in enumerate(totals)]
+    orders += [{"order_id": "O1", "order_total": "700", "order_status": "returned"}, {"order_id": "O2", "order_total": "10.00"}]
+    orders += [{"order_id": "O2", "order_total": "10.01"}, {"order_id": "O3", "order_total": "6"}, {"order_id": "O3", "order_total": "4.00"}]
+    payments = [("A", "O1", "10.00"), ("A", "O1", "10.00"), ("B", "O1", "20.00"), ("C", "O1", "n/a"), ("D", "O2", "10.00"), ("E", "O3", "5.00")]
+    stg = staging(spark, orders=orders, payments=[{"payment_id": p, "order_id": o, "amount": a} for p, o, a in payments])
+    text = "payment_id={}: settled payment {} != completed order total {} (diff={})."
+    assert found(stg, "DQ010") == [
+        ("A", text.format("A", "10.00", "20", "10.00")), ("A", text.format("A", "10.00", "20", "10.00")),
+        ("B", text.format("B", "20.00", "9.98", "-10.02")), ("E", text.format("E", "5.00", "6", "1.00")),
+    ]
 
 
-def test_dq010_counts_where_an_order_id_has_many_totals(spark, monkeypatch):
-    from decimal import Decimal
+def test_no_job_runs_while_the_plan_is_built(spark):
+    stg = staging(spark, payments=[{"amount": "1"}])
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    try:
+        run_rules(stg)
+        assert list(tracker.getJobIdsForGroup("planning")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
-    from tidyledger.rules import violations
 
-    monkeypatch.setattr(violations, "MANY_TOTALS", 3)
-    totals = ["10.00", "10.005", "10.01", "10.02", "20", "n/a", "10.00", "9.99", "9.98"]
-    orders = [{"order_id": "hot", "order_total": t, "shipping_state": f"s{i}"} for i, t in enumerate(totals)]
-    orders += [{"order_id": "O2", "order_total": "5.00"}, {"order_id": "hot", "order_total": "7", "order_status": "returned"}]
-    amounts = ["10.00", "10.00", "20.00", "1", "n/a", "10.015"]
-    payments = [{"payment_id": f"P{i}", "order_id": "hot", "amount": a} for i, a in enumerate(amounts)]
-    payments += [{"payment_id": "Q", "order_id": "O2", "amount": "6.00"}, {"payment_id": "R", "order_id": "none"}]
-    stg = staging(spark, orders=orders, payments=payments)
-    want = []
-    priced = [Decimal(t) for t in totals if t != "n/a"]
-    for i, a in enumerate(amounts):
-        if a != "n/a" and (n := sum(abs(t - Decimal(a)) > Decimal("0.01") for t in priced)):
-            want.append((f"P{i}", f"payment_id=P{i}: settled payment {a} != completed order total on {n} of {len(priced)} rows of order_id=hot."))
-    want.append(("Q", "payment_id=Q: settled payment 6.00 != completed order total 5.00 (diff=-1.00)."))
-    assert found(stg, "DQ010") == sorted(want)
-    assert [r.record_key for r in find_violations(stg, ["DQ009", "DQ010"]).filter("rule_id = 'DQ009'").collect()] == ["R"]
+def test_large_numbers_are_compared_and_never_called_junk(spark):
+    orders = [
+        {"order_id": "O1", "order_total": "123456789012345.67"}, {"order_id": "O2", "quantity": "3000000000", "order_total": "30000000000.02"},
+        {"order_id": "O3", "order_total": "20.01000001"}, {"order_id": "O4", "quantity": "9" * 20}, {"order_id": "O5", "quantity": "-" + "9" * 20},
+        {"order_id": "O6", "order_total": "9" * 20},
+    ]
+    stg = staging(spark, orders=orders)
+    text = "order_id={}: order_total={} vs quantity*unit_price={} (diff={})."
+    assert found(stg, "DQ008") == [
+        ("O1", text.format("O1", "123456789012345.67", "20.00", "123456789012325.67")),
+        ("O2", text.format("O2", "30000000000.02", "30000000000.00", "0.02")),
+        ("O3", text.format("O3", "20.01000001", "20.00", "0.01000001")),
+    ]
+    assert found(stg, "DQ007") == [("O5", f"order_id=O5: completed-order quantity -{'9' * 20} is not positive.")]
+    held = {(r.record_key, r.column_name, r.problem) for r in numbers_not_held(stg).collect()}
+    assert held == {
+        ("O1", "order_total", "too large for the curated table"), ("O1", "order_amount_variance", "too large for the curated table"),
+        ("O2", "quantity", "too large for the curated table"), ("O2", "order_total", "too large for the curated table"),
+        ("O2", "calculated_order_amount", "too large for the curated table"), ("O4", "quantity", "too large to be checked"),
+        ("O5", "quantity", "too large to be checked"), ("O6", "order_total", "too large to be checked"),
+    }
 
 
 def test_dq011_and_dq012(spark):
@@ -218,5 +245,26 @@ def test_registry_file(spark, tmp_path):
         load_registry(spark, write("long.csv", [*RULES, ("DQ013", "orders", "new", "Low")]))
     with pytest.raises(ValueError, match="another dataset"):
         load_registry(spark, write("moved.csv", [("DQ001", "orders", "x", "Low"), *RULES[1:]]))
+    with pytest.raises(ValueError, match="DQ013 only on the left and 1 more"):
+        load_registry(spark, write("longer.csv", [*RULES, ("DQ013", "orders", "new", "Low"), ("DQ014", "orders", "new", "Low")]))
     assert len(RULE_IDS) == 12
     assert drift(registry(spark), registry(spark)).collect() == []
+
+
+def test_the_last_line_of_a_rule_counts_and_no_exception_is_doubled(spark, tmp_path):
+    path = tmp_path / "twice.csv"
+    lines = [*RULES, ("DQ002", "customers", "said again", "Low"), *RULES[3:], ("DQ005", "orders", "third time", "Medium")]
+    path.write_text("rule_id,dataset,rule_description,severity\n" + "\n".join(",".join(f'"{c}"' for c in r) for r in lines))
+    rules = load_registry(spark, str(path))
+    assert rules.count() == 12
+    assert {r.rule_id: r.severity for r in rules.collect()}["DQ002"] == "Low"
+    stg = staging(spark, customers=[{"email": None}, {"customer_id": "C2", "email": "x"}])
+    assert run_rules(stg, rules=rules).filter("rule_id = 'DQ002'").count() == run_rules(stg).filter("rule_id = 'DQ002'").count() == 2
+    doubled = registry(spark).union(registry(spark))
+    assert run_rules(stg, rules=doubled).count() == run_rules(stg).count()
+
+
+def test_drift_goes_both_ways(spark):
+    left = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "k string")
+    right = spark.createDataFrame([("b",), ("c",), ("c",), (None,)], "k string")
+    assert sorted(map(tuple, drift(left, right, "k").collect())) == [("a", "only on the left"), ("c", "only on the right")]

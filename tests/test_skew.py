@@ -126,13 +126,16 @@ def test_unpaid_orders_split_a_hot_order(spark, big_cluster, hot):
     assert len(rows) == (N + 2) // 3 and "skew=true" in plan, plan
 
 
-def test_duplicates_of_a_hot_key_do_not_meet_in_one_task(spark, big_cluster, hot):
-    """The join that finds the rows is on source_row, so its partitions are even however hot the key is."""
-    losers = hot.orders_duplicates.select(F.spark_partition_id().alias("task"))
-    with conf(spark, adaptive__enabled="false"):
-        sizes = [r["count"] for r in losers.groupBy("task").count().collect()]
-    assert sum(sizes) == (N + 2) // 3 - 1
-    assert len(sizes) == 8 and max(sizes) < 2 * min(sizes)
+def test_duplicates_of_a_hot_key_are_split_between_tasks(spark, big_cluster, hot):
+    rows, plan = run_plan(hot.orders_duplicates)
+    assert len(rows) == (N + 2) // 3 - 1
+    assert "skew=true" in plan, plan
+
+
+def test_few_repeats_leave_the_rows_where_they_are(spark, hot):
+    """With few repeated keys their side is broadcast and no row of the table is shuffled whole."""
+    _, plan = run_plan(hot.customers_duplicates)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan, plan
 
 
 def test_no_window_and_no_cross_join_in_rules_and_curated_tables(spark, big_cluster, hot):
@@ -164,26 +167,30 @@ def test_curated_scan_pushes_filters_and_prunes_columns(spark, tmp_path):
     assert "ReadSchema: struct<order_date:date,order_status:string,gross_order_amount:decimal(12,2)>" in plan
 
 
-def test_issue_lists_are_bounded_and_complete_elsewhere(spark, monkeypatch):
-    monkeypatch.setattr(answers, "INLINE_ISSUES", 3)
+def test_every_issue_of_a_hot_order_is_a_row(spark):
     ddl = "rule_id string, dataset string, record_key string, issue_description string"
-    rows = [("DQ005", "orders", "O1", f"issue {i}") for i in range(3)]
-    rows += [("DQ005", "orders", "O2", f"issue {i}") for i in range(50)] + [("DQ004", "orders", "O2", "dup")] * 9
+    rows = [("DQ005", "orders", "O1", f"issue {i}") for i in range(5000)]
+    rows += [("DQ005", "orders", "O2", "one")] * 3 + [("DQ004", "orders", "O2", "dup")] * 9 + [("DQ004", "orders", "O9", "not an order")]
     rows += [("DQ010", "payments", "PMT1", f"pay {i}") for i in range(40)] + [("DQ009", "payments", "PMT2", "orphan")]
     exceptions = spark.createDataFrame(rows, ddl)
     payments = spark.createDataFrame(
-        [("PMT1", "O3"), ("PMT1", "O4"), ("PMT2", "O1"), ("PMT2", None)], "payment_key string, order_key string"
+        [("PMT1", "O3"), ("PMT1", "O4"), ("PMT1", "O3"), ("PMT2", "O1"), ("PMT2", None), ("PMT2", "O-1")], "payment_key string, order_key string"
     )
-    got = {r.order_key: (r.triggered_rules, r.issues) for r in answers.order_exceptions(exceptions, payments).collect()}
-    assert got == {
-        "O1": (["DQ005", "DQ009"], None),
-        "O2": (["DQ004", "DQ005"], None),
-        "O3": (["DQ010"], None),
-        "O4": (["DQ010"], None),
-    }
-    monkeypatch.setattr(answers, "INLINE_ISSUES", 4)
-    got = {r.order_key: r.issues for r in answers.order_exceptions(exceptions, payments).collect()}
-    assert got["O1"] == ["issue 0", "issue 1", "issue 2", "orphan"] and got["O2"] is None
+    line = ", ".join(f"{c} string" for c in answers.ORDER_LINE)
+    orders = spark.createDataFrame([(f"O{i}", *["x"] * 7) for i in (1, 2, 2, 3, 4, 5)], line)
+    issues = answers.q3_order_issues(orders, exceptions, payments)
+    per_key = {r.order_key: r["count"] for r in issues.groupBy("order_key").count().collect()}
+    assert per_key == {"O1": 5001, "O2": 2, "O3": 40, "O4": 40}
+    got = {r.order_key: (r.triggered_rules, r.issue_count) for r in answers.q3_order_exceptions(orders, issues).collect()}
+    assert got == {"O1": (["DQ005", "DQ009"], 5001), "O2": (["DQ004", "DQ005"], 2), "O3": (["DQ010"], 40), "O4": (["DQ010"], 40)}
+
+
+def test_question_3_plans_the_rules_once(spark, big_cluster, hot):
+    exceptions = run_rules(hot, ["DQ004", "DQ005", "DQ006", "DQ007", "DQ008", "DQ009", "DQ010"])
+    order, payment = curate.fact_order(hot), curate.fact_payment(hot)
+    q3 = answers.q3_order_exceptions(order, answers.q3_order_issues(order, exceptions, payment))
+    plan = q3._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 45 and "rangepartitioning" not in plan
 
 
 def test_known_keys_leave_the_join_its_own_exchange(spark, big_cluster):
