@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidyledger.llm import ann, chat, decontaminate, langid, mixing, ngram_join, quality, sharding, toxicity, url_filter
+from tidyledger.llm import ann, chat, decontaminate, langid, mixing, ngram_join, oracle, quality, sharding, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,4 +85,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = oracle.statements()
