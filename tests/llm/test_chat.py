@@ -43,6 +43,25 @@ def test_templates_that_rewrite_history_are_detected():
     assert [done.text[a:b] for a, b in done.texts] == ["a", "b c"]
 
 
+def test_long_conversations_are_rendered_in_windows():
+    turns = [("user" if i % 2 == 0 else "assistant", f"text {i} [INST]") for i in range(3000)]
+    calls = []
+    counted = lambda t: calls.append(len(t)) or instruction_template(t)
+    done = render(counted, turns)
+    assert sum(calls) < 100 * len(turns)
+    assert read_back(done.text) == turns and done.rewrites_at is None
+    assert [unescape(done.text[a:b]) for a, b in done.texts] == [t for _, t in turns]
+    first_marked = lambda t: "<s>" + "".join(f"[{r}]{x}" for r, x in t)
+    done = render(first_marked, turns[:60])
+    assert done.text == first_marked(turns[:60]) and [done.text[a:b] for a, b in done.texts] == [t for _, t in turns[:60]]
+    numbered = lambda t: "".join(f"{i}{r}:{x};" for i, (r, x) in enumerate(t))
+    done = render(numbered, turns[:60])  # a window does not know a turn's number
+    assert done.text == numbered(turns[:60]) and [done.text[a:b] for a, b in done.texts] == [t for _, t in turns[:60]]
+    forgets = lambda t: "".join(f"{r}:{x};" for r, x in t[-40:])
+    done = render(forgets, turns[:60])
+    assert done.rewrites_at == 40 and done.turns == [] and done.text == forgets(turns[:60])
+
+
 def expected(rows):
     by = defaultdict(list)
     for conv, turn, role, text in rows:

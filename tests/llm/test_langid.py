@@ -89,3 +89,8 @@ def test_page_evidence(spark):
     assert got[1]._declared == "de" and got[1]._suffix == "at" and got[1]._host == "a.b.example.at" and got[1]._text.split() == ["Gu", "ten", "Tag"]
     assert tuple(got[2])[1:] == (None, None, None, None)
     assert (got[3]._text, got[3]._declared, got[3]._host) == ("plain", None, None)
+
+
+def test_too_many_labels_are_refused(spark, documents):
+    with pytest.raises(ValueError, match="more than 256"):
+        fit(documents(*[(i, "a", f"l{i}") for i in range(300)]))

@@ -24,6 +24,9 @@ Template = Callable[[list[Turn]], str]
 MARKS = {"user": ("<s>[INST] ", " [/INST]"), "assistant": (" ", " </s>"), "system": ("<<SYS>>\n", "\n<</SYS>>\n\n")}
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<<ROLE>>", "<</ROLE>>")
 
+#: Turns before the new one that a prefix of a long conversation keeps.
+WINDOW = 16
+
 _ESCAPE = "\x1b"
 _CONTROL = re.compile("|".join(re.escape(c) for c in sorted(CONTROLS, key=len, reverse=True)))
 
@@ -70,25 +73,34 @@ def _shared(a: str, b: str) -> int:
     return lo
 
 
-def render(template: Template, turns: list[Turn]) -> Rendered:
+def render(template: Template, turns: list[Turn], window: int = WINDOW) -> Rendered:
     """Renders successive prefixes and compares consecutive outputs.
 
     The part of a text that its span covers is what changes when the text changes, so for a template that strips or
     rewrites a text the span covers what is left of it.
+
+    In a long conversation prefixes begin ``window`` turns before the new one, so the work grows with the length and not
+    with its square. The whole conversation is rendered once at the end; unless the spans add up to exactly that,
+    prefixes are taken from the beginning.
     """
     out = Rendered()
     for i, (role, text) in enumerate(turns):
-        now = template(turns[: i + 1])
-        if not now.startswith(out.text):
-            return Rendered(template(turns), rewrites_at=i)
-        begin = len(out.text)
+        base = turns[max(0, i - window) : i]
+        before = out.text if i <= window else template(base)
+        now = template([*base, (role, text)])
+        if not now.startswith(before):
+            return Rendered(template(turns), rewrites_at=i) if i <= window else render(template, turns, len(turns))
         # two probes that differ in their first and last characters: their shared ends are the marks
-        one, two = template([*turns[:i], (role, "0")]), template([*turns[:i], (role, "1")])
+        one, two = template([*base, (role, "0")]), template([*base, (role, "1")])
         head = _shared(one, two)
         tail = _shared(one[head:][::-1], two[head:][::-1])
-        out.turns.append((begin, len(now)))
-        out.texts.append((min(head, len(now)), max(min(head, len(now)), len(now) - tail)))
-        out.text = now
+        first = min(head, len(now))
+        shift = len(out.text) - len(before)
+        out.turns.append((len(out.text), shift + len(now)))
+        out.texts.append((shift + first, shift + max(first, len(now) - tail)))
+        out.text += now[len(before) :]
+    if len(turns) > window + 1 and template(turns) != out.text:
+        return render(template, turns, len(turns))
     return out
 
 

@@ -25,6 +25,7 @@ from tidyledger.llm.grams import chunks
 from tidyledger.llm.runtime import cut, small
 
 BUCKETS = 1 << 16
+LANGUAGES = 256
 EVIDENCE = 100.0
 KAPPA = 10.0
 UNKNOWN = "und"
@@ -61,8 +62,11 @@ class Model:
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
     """Trigram counts per label over all rows with a label; each task sums its own before they are shuffled.
 
-    The result has BUCKETS numbers per language. Rows without label or letters say nothing.
+    The result has BUCKETS numbers per language; more than LANGUAGES labels are refused. Rows without label or letters say
+    nothing.
     """
+    if docs.filter(F.col(lang_col).isNotNull()).select(lang_col).distinct().limit(LANGUAGES + 1).count() > LANGUAGES:
+        raise ValueError(f"{lang_col} holds more than {LANGUAGES} languages")
     labelled = docs.filter(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string"), F.col(text_col).cast("string"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
