@@ -46,13 +46,14 @@ def run_rules(
 ) -> DataFrame:
     """The exception report. ``detected_at`` is one UTC moment for the whole run, now by default."""
     found = find_violations(stg, wanted)
-    rules = registry(found.sparkSession) if rules is None else rules
     moment = detected_at or datetime.now(timezone.utc)
     if moment.tzinfo is not None:
         moment = moment.astimezone(timezone.utc).replace(tzinfo=None)
-    # One row per rule of this module, whatever the given registry holds, so the broadcast cannot grow.
-    of_rule = F.min(F.struct("severity", "suggested_action")).alias("r")
-    known = rules.filter(F.col("rule_id").isin(*RULE_IDS)).groupBy("rule_id").agg(of_rule).select("rule_id", "r.*")
+    if rules is None:
+        known = registry(found.sparkSession).select("rule_id", "severity", "suggested_action")
+    else:  # one row per rule of this module, whatever the given table holds, so the broadcast cannot grow
+        of_rule = F.min(F.struct("severity", "suggested_action")).alias("r")
+        known = rules.filter(F.col("rule_id").isin(*RULE_IDS)).groupBy("rule_id").agg(of_rule).select("rule_id", "r.*")
     report = found.join(F.broadcast(known), "rule_id").withColumn(
         "detected_at", F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
     )
