@@ -140,7 +140,7 @@ def _q2(stg: Staging) -> DataFrame:
 def _detail(stg: Staging) -> DataFrame:
     return answers.q5_per_customer_detail(
         curate.dim_customer(stg),
-        curate.fact_order(stg),
+        curate.order_keys(stg),
         curate.fact_payment(stg),
         curate.fact_customer_issue(stg),
         _exceptions(stg, "orders", "payments"),

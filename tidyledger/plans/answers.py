@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidyledger.functions.text import dollars, message, month_label
-from tidyledger.operators.lookups import known_keys, lookup
+from tidyledger.operators.lookups import known_keys, lookup, own_exchange
 
 AMOUNT = "decimal(22,2)"
 
@@ -69,7 +69,10 @@ def q3_order_issues(fact_order: DataFrame, exceptions: DataFrame, fact_payment:
     paid = fact_payment.filter(F.col("order_key").isNotNull()).select("payment_key", "order_key").distinct()
     through_payment = paid.join(of_payments.distinct(), "payment_key").select("order_key", *issue)
     merged = of_orders.unionByName(through_payment)
-    return merged.join(lookup(fact_order, "order_key").select("order_key"), "order_key", "left_semi").distinct()
+    # Distinct keys alone, so that Spark drops every lookup that fact_order is built with. An inner join, as a semi join
+    # would be pushed into every branch of the union and bring the plan of the orders with it.
+    keys = fact_order.select("order_key").distinct().select(own_exchange("order_key"))
+    return merged.join(keys, "order_key").distinct()
 
 
 def q3_order_exceptions(fact_order: DataFrame, issues: DataFrame) -> DataFrame:

@@ -88,6 +88,11 @@ def fact_order(stg: Staging) -> DataFrame:
     return conform(out, CURATED["fact_order"])
 
 
+def order_keys(stg: Staging) -> DataFrame:
+    """The rows of ``fact_order`` with their keys alone, for questions that need no amounts: no price is looked up."""
+    return stg.kept_orders.select(F.col("order_id").alias("order_key"), F.col("customer_id").alias("customer_key"))
+
+
 def fact_payment(stg: Staging) -> DataFrame:
     """All payments, typed; orphans are kept."""
     out = stg.payments.select(
