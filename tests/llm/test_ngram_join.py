@@ -8,7 +8,6 @@ from itertools import combinations
 import pytest
 from llm_tables import SMALL, documents  # noqa: F401
 
-from tidyledger.llm import ngram_join
 from tidyledger.llm.components import components
 from tidyledger.llm.decontaminate import shingle_set
 from tidyledger.llm.ngram_join import near_duplicates
@@ -71,11 +70,6 @@ def test_equals_brute_force(documents, corpus):
     assert found(documents(*corpus)) == brute(corpus)
 
 
-def test_equals_brute_force_where_the_low_end_is_short(documents, corpus, monkeypatch):
-    monkeypatch.setattr(ngram_join, "SKETCH", 32)
-    assert found(documents(*corpus)) == brute(corpus)
-
-
 def test_odd_rows(documents):
     rows = [
         (1, None), (2, ""), (3, " \t\n"), (4, "Two words"), (5, "two\x0bWORDS"), (6, "two words more"), (7, "x " * 50_000),
