@@ -201,6 +201,9 @@ def queries() -> dict[str, Query]:
         "dq011_ticket_timestamp": _rule("DQ011"),
         "dq012_ticket_customer_fk": _rule("DQ012"),
         "exceptions_ranked": _on_exceptions(lambda ex, _: with_severity_rank(ex).drop("detected_at")),
+        "exceptions_by_detection": _on_exceptions(
+            lambda ex, _: ex.groupBy("detected_at", "dataset").agg(F.count(F.lit(1)).alias("n"))
+        ),
         "dq_exceptions_filtered": _on_exceptions(
             lambda ex, _: report.filter_exceptions(ex, ["DQ002", "DQ007", "DQ009"], ["High"]).drop("detected_at")
         ),

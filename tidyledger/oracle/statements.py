@@ -211,6 +211,9 @@ FROM fx_customers""",
 FROM exceptions""",
             "exceptions",
         ),
+        "exceptions_by_detection": query(
+            "SELECT TIMESTAMP '2025-06-01 00:00:00' AS detected_at, dataset, count(*) AS n FROM exceptions GROUP BY dataset", "exceptions"
+        ),
         "dq_exceptions_filtered": query(
             "SELECT * FROM exceptions WHERE rule_id IN ('DQ002', 'DQ007', 'DQ009') AND severity IN ('High')", "exceptions"
         ),
