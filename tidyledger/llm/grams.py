@@ -2,7 +2,7 @@
 
 A word is a run of bytes other than space and \\t \\n \\v \\f \\r, with A-Z lowered. A shingle is ``k`` words in a row; a
 text of fewer words has its whole sequence as its one shingle; a text without words (or NULL) has none. Texts are worked
-on in chunks of about two megabytes, so memory follows the longest text, not the batch. Two different shingles of a
+on in chunks of about half a megabyte, so memory follows the longest text, not the batch. Two different shingles of a
 corpus get the same hash with a chance of about one in 2^64 per pair, which all users of this module neglect.
 """
 
@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 K = 5
 
 _BASE = 0x9E3779B97F4A7C15

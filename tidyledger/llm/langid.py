@@ -99,7 +99,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mode
 
 def _likelihoods(rows: DataFrame, model: Model) -> DataFrame:
     """``rows`` (…, _text last) with _text replaced by _ll, the evidence of each class; NULL without letters."""
-    shared = rows.sparkSession.sparkContext.broadcast(model.logp)
+    shared = rows.sparkSession.sparkContext.broadcast(np.ascontiguousarray(model.logp.T))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         logp = shared.value
@@ -108,13 +108,14 @@ def _likelihoods(rows: DataFrame, model: Model) -> DataFrame:
             for _, data, offsets in chunks(batch.column(batch.num_columns - 1)):
                 bucket, owner = trigrams(data, offsets)
                 n = np.bincount(owner, minlength=len(offsets) - 1)
-                sums = np.zeros((len(n), logp.shape[1]))
+                sums = np.zeros((len(n), len(logp)))
                 full = np.flatnonzero(n)
                 if len(full):
                     first = np.r_[0, np.cumsum(n)][full]
-                    sums[full] = np.add.reduceat(logp[bucket], first, axis=0, dtype=np.float64)
+                    for i, own in enumerate(logp):  # one class at a time keeps the chunk small
+                        sums[full, i] = np.add.reduceat(own[bucket], first, dtype=np.float64)
                 parts.append(np.where(n[:, None] > 0, sums * np.minimum(1.0, EVIDENCE / np.maximum(n, 1))[:, None], np.nan))
-            scores = np.concatenate(parts) if parts else np.zeros((0, logp.shape[1]))
+            scores = np.concatenate(parts) if parts else np.zeros((0, len(logp)))
             empty = np.isnan(scores).any(1)
             offsets = np.arange(len(scores) + 1, dtype=np.int32) * scores.shape[1]
             lists = pa.ListArray.from_arrays(pa.array(offsets, mask=np.r_[empty, False]), pa.array(scores.ravel()))
