@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidyledger.llm import decontaminate, langid, mixing, ngram_join, sharding
-from tidyledger.llm.runtime import checkpoint_folder, cut
+from tidyledger.llm.runtime import checkpoint_folder, cut, small
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +30,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     late = F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 61))
     keyed = docs.withColumn("_key", F.coalesce(F.col("doc_id"), late))
     found = cut(ngram_join.near_duplicates(keyed, id_col="_key").select("_key", "component_id"))
-    gone = found.filter("_key <> component_id").select("_key").distinct()
+    gone = small(cut(found.filter("_key <> component_id").select("_key").distinct()))
     kept = keyed.join(gone, "_key", "left_anti")
     if found.groupBy("_key").count().filter("count > 1").limit(1).count():
         kept = kept.dropDuplicates(["_key"])

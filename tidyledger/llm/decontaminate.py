@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidyledger.llm.grams import K, Words
-from tidyledger.llm.runtime import cut
+from tidyledger.llm.runtime import cut, small
 
 PERCENT = 80
 #: Bytes of item texts in a block; with hashes and Python objects a block takes about thirty times that.
@@ -141,5 +141,5 @@ def leaks(
 
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` without those that ``leaks`` reports. A row with a NULL id stays: it cannot be named."""
-    found = cut(leaks(docs, items, id_col=id_col, **options).select(F.col("doc_id").alias(id_col)).distinct())
+    found = small(cut(leaks(docs, items, id_col=id_col, **options).select(F.col("doc_id").alias(id_col)).distinct()))
     return docs.join(found, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
