@@ -12,10 +12,13 @@ BROADCAST_ROWS = 1_000_000
 
 
 def checkpoint_folder(spark: SparkSession) -> None:
-    """The session's own folder (``spark.checkpoint.dir``); a temporary one only where none is set, as in tests."""
+    """The session's own folder (``spark.checkpoint.dir``); a temporary one only where none is set and all runs in one JVM."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
 
 
 def cut(df: DataFrame) -> DataFrame:
