@@ -60,6 +60,15 @@ def test_ties_repeats_and_few_rows(spark):
     assert [(r.rank, r.vec_id, r.score) for r in got.orderBy("rank").collect()] == [(1, 3, 0.5), (2, 4, 0.5), (3, 5, 0.5)]
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 8, 12])
+def test_few_rows_of_64_dimensions_are_all_found(spark, n):
+    x = np.random.default_rng(n).normal(size=(n, 64)).astype(np.float32)
+    rows = table(spark, range(n), x)
+    longer = table(spark, range(100, 140), np.random.default_rng(99).normal(size=(40, 80)))
+    want = {i: [(v, pytest.approx(s, abs=1e-12)) for v, s in brute(list(range(n)), x.astype(float), i, 10)] for i in range(n)}
+    assert results(neighbours(rows.unionAll(longer), rows)) == {i: w for i, w in want.items() if w}
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 2.0]), (1, None), (2, []), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (7, [1.0, 2.0, 3.0]), (None, [1.0, 2.0]), (8, [2.0, 4.0])]
