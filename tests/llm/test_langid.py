@@ -94,3 +94,17 @@ def test_page_evidence(spark):
 def test_too_many_labels_are_refused(spark, documents):
     with pytest.raises(ValueError, match="more than 256"):
         fit(documents(*[(i, "a", f"l{i}") for i in range(300)]))
+
+
+def test_what_is_rejected_does_not_depend_on_the_size_of_the_corpus(spark, docs):
+    english = docs.filter("lang = 'en' and n_chars between 200 and 2000").orderBy("doc_id").limit(30)
+    one, many = fit(english), fit(english.crossJoin(spark.range(1000)))
+    assert np.allclose(one.logp, many.logp)
+    foreign = "Зачем же вы так поздно пришли сегодня к нам домой, мы давно вас ждём и уже сели ужинать без вас. "
+    rows = []
+    for i, r in enumerate(english.collect()):
+        strange = (foreign * 40).encode()[: len(r.text.encode())].decode(errors="ignore")
+        rows += [(i, r.text + strange[: len(strange) // 3], None, None, None), (100 + i, strange, None, None, None)]
+    for model in (one, many):
+        got = {r.id: r.accepted for r in identify(evidence(spark, *rows), model).collect()}
+        assert all(got[i] == (i < 100) for i in got)

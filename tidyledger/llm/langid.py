@@ -31,6 +31,9 @@ KAPPA = 10.0
 UNKNOWN = "und"
 #: Prior probability of ``und``.
 UNKNOWN_PRIOR = 1e-3
+#: Share of the uniform distribution in each language: an unseen trigram costs the same whatever the size of the corpus,
+#: log(20) more than under ``und``, so a single one does not outweigh the other evidence.
+UNSEEN = 0.05
 
 _TAGS = r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>"
 _DECLARED = r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]+)"
@@ -90,11 +93,15 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mode
     table = counted.toArrow()
     names = np.array(table["lang"].to_pylist(), object)
     languages = sorted(set(names))
-    counts = np.full((BUCKETS, len(languages)), 0.5)
+    counts = np.zeros((BUCKETS, len(languages)))
     if languages:
-        counts[table["bucket"].to_numpy(), np.searchsorted(languages, names)] += table["n"].to_numpy()
-    logp = np.log(counts / counts.sum(0)) if languages else counts
-    return Model([str(x) for x in languages], np.c_[logp, np.full(BUCKETS, -np.log(BUCKETS))].astype(np.float32))
+        counts[table["bucket"].to_numpy(), np.searchsorted(languages, names)] = table["n"].to_numpy()
+    return Model([str(x) for x in languages], np.c_[_log_shares(counts), np.full(BUCKETS, -np.log(BUCKETS))].astype(np.float32))
+
+
+def _log_shares(counts: np.ndarray) -> np.ndarray:
+    """Log probabilities from counts by bucket, one column per language; the same for counts in proportion."""
+    return np.log((1 - UNSEEN) * counts / counts.sum(0) + UNSEEN / BUCKETS)
 
 
 def _likelihoods(rows: DataFrame, model: Model) -> DataFrame:
