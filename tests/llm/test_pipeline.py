@@ -66,3 +66,11 @@ def test_odd_rows(spark, documents):
     assert got == Counter([(1, words), (None, None), (2, ""), (None, words + " x y z a b c"), (3, words + " q r s t u v w")])
     for name, function in corpus_pipeline.STAGES:
         assert function(spark, docs.filter("false"), SMALL).count() == 0, name
+
+
+def test_leaks_go_by_row_not_by_id(spark, documents):
+    item = spark.read.parquet(f"{SMALL}/benchmark.parquet").first().text
+    docs = documents((None, item), (None, "a b c d e f"), (7, item), (7, "g h i j k l"), (8, f"x {item} y"), (9, None))
+    clean = dict(corpus_pipeline.STAGES)["benchmark_decontamination"](spark, docs, SMALL)
+    assert clean.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in clean.collect()) == Counter([(None, "a b c d e f"), (7, "g h i j k l"), (9, None)])
