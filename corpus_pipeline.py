@@ -22,13 +22,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the smallest id.
+    """One document of each group stays, the one with the smallest id; of equal ids the one with the smallest hash.
 
-    A row without an id gets a key from its text that comes after all ids, so it stays only if its group has no id. Of
-    rows that share an id or key, one stays.
+    Rows are told apart by id and text. Those without an id come after all others, so one stays only if its group has no
+    id. Of rows that agree in id and text, one stays.
     """
-    late = F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 61))
-    keyed = docs.withColumn("_key", F.coalesce(F.col("doc_id"), late))
+    key = F.struct(F.col("doc_id").isNull().alias("late"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text").alias("hash"))
+    keyed = docs.withColumn("_key", key)
     found = cut(ngram_join.near_duplicates(keyed, id_col="_key").select("_key", "component_id"))
     gone = small(cut(found.filter("_key <> component_id").select("_key").distinct()))
     kept = keyed.join(gone, "_key", "left_anti")

@@ -74,3 +74,10 @@ def test_leaks_go_by_row_not_by_id(spark, documents):
     clean = dict(corpus_pipeline.STAGES)["benchmark_decontamination"](spark, docs, SMALL)
     assert clean.columns == docs.columns
     assert Counter((r.doc_id, r.text) for r in clean.collect()) == Counter([(None, "a b c d e f"), (7, "g h i j k l"), (9, None)])
+
+
+def test_rows_that_share_an_id_are_decided_by_their_texts(spark, documents):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    docs = documents((1, a), (5, f"{a} z"), (5, b), (6, c), (6, d), (6, d), (7, f"{d} z"))
+    single = dict(corpus_pipeline.STAGES)["ngram_jaccard_join"](spark, docs, SMALL)
+    assert Counter((r.doc_id, r.text) for r in single.collect()) == Counter([(1, a), (5, b), (6, c), (6, d)])
