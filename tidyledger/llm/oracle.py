@@ -73,6 +73,57 @@ told AS (
 SELECT conv_id, n_turns, sha256(all_text) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM told"""
 
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+LEXICAL_SEARCH = f"""
+WITH t AS (
+  SELECT doc_id, term, count(*) AS tf
+  FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_TERM}')) AS term FROM documents) GROUP BY ALL),
+sizes AS (SELECT doc_id, sum(tf)::BIGINT AS size FROM t GROUP BY doc_id),
+sums AS (SELECT count(*) AS docs, sum(size)::BIGINT AS terms FROM sizes),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM t GROUP BY term), sums),
+asked AS (SELECT item_id, unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_TERM}')) AS term FROM benchmark),
+scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * size * docs) // terms))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN t USING (term) JOIN sizes USING (doc_id), sums GROUP BY ALL),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 20"""
+
+COLLOCATIONS = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM words, range(1, 6) AS sizes(k) WHERE len(w) >= k),
+often AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+split AS (SELECT *, string_split(phrase, ' ') AS w FROM often WHERE k >= 2),
+cuts AS (
+  SELECT lang, phrase, c, f, array_to_string(w[:c], ' ') AS first, array_to_string(w[c + 1:], ' ') AS rest
+  FROM split, range(1, 5) AS places(c) WHERE c < k),
+scored AS (
+  SELECT s.lang, s.phrase, s.c, s.f AS a, x.f AS l, y.f AS r, n, ((1000::HUGEINT * s.f * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts s JOIN often x ON x.lang = s.lang AND x.phrase = s.first JOIN often y ON y.lang = s.lang AND y.phrase = s.rest
+  JOIN totals t ON t.lang = s.lang),
+lowest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) AS place FROM scored) WHERE place = 1),
+inside AS (
+  SELECT DISTINCT s.lang, array_to_string(s.w[b:b + m - 1], ' ') AS phrase
+  FROM split s, range(1, 5) AS begins(b), range(2, 5) AS sizes(m)
+  JOIN often o ON o.lang = s.lang AND o.phrase = array_to_string(s.w[b:b + m - 1], ' ')
+  WHERE m < s.k AND b + m - 1 <= s.k AND 100 * s.f >= 100 * o.f)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+  FROM lowest ANTI JOIN inside USING (lang, phrase))
+WHERE rank <= 2000"""
+
+
 def _shard_table(shards: int = 64, slots: int = 6553) -> str:
     """The lookup table, filled from whole preference lists; taking turns is not a matter for SQL."""
     digest = lambda text: int(hashlib.md5(text.encode()).hexdigest()[:13], 16)
@@ -159,4 +210,6 @@ def statements() -> dict[str, str]:
         "op4_decontamination": DECONTAMINATION,
         "op5_ngram_join": NGRAM_JOIN,
         "op7_chat_formatting": CHAT_FORMATTING,
+        "op11_lexical_search": LEXICAL_SEARCH,
+        "op13_collocations": COLLOCATIONS,
     }

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidyledger.llm import ann, chat, decontaminate, langid, mixing, ngram_join, oracle, quality, sharding, toxicity, url_filter
+from tidyledger.llm import (
+    ann, bpe, chat, collocations, decontaminate, langid, lexical, mixing, ngram_join, oracle, quality, sharding, toxicity, url_filter,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,11 +79,31 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(rows, langid.fit(documents)).select("doc_id", "page_id", "lang", "confidence", "accepted")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 documents of highest score for every benchmark item."""
+    return lexical.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digest of every document's token ids, and the digest of the bytes they decode to."""
+    import public_tokenizers
+
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    ids = bpe.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    digests = [F.sha2(c, 256).alias(f"{c}_sha256") for c in ("ids", "decoded")]
+    return bpe.decode(ids, ranks).select("doc_id", "n_tokens", *digests)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 phrases of highest score of every language."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_url_filter, op2_sharding, op3_mixing, op4_decontamination, op5_ngram_join, op6_nearest_neighbours,
-        op7_chat_formatting, op8_quality, op9_toxicity, op10_language_id,
+        op7_chat_formatting, op8_quality, op9_toxicity, op10_language_id, op11_lexical_search, op12_byte_bpe, op13_collocations,
     )
 }
 
