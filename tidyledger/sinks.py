@@ -14,9 +14,10 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header, also when there are no rows. Lists are joined with ``; ``."""
+    """CSV with a header, also when there are no rows; cells keep their spaces. Lists are joined with ``; ``."""
     flat = [
         F.array_join(f.name, "; ").alias(f.name) if isinstance(f.dataType, T.ArrayType) else F.col(f.name)
         for f in df.schema.fields
     ]
-    df.select(*flat).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.select(*flat).write.mode("overwrite").options(header=True, escape='"', **keep).csv(path)
