@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from datetime import datetime
 from decimal import Decimal, InvalidOperation
 
@@ -9,7 +10,7 @@ import pytest
 from dateutil import parser as dates
 from pyspark.sql import functions as F
 
-from tidyledger.functions import contact, geography, numbers, text, timestamps
+from tidyledger.functions import contact, geography, numbers, text, timestamps, wide
 
 # Formats of the feeds.
 FORMATS = (
@@ -63,8 +64,28 @@ def test_timestamps_match_the_listed_formats(spark, rows, zone):
     assert dict(zip(TIMESTAMPS, got)) == dict(zip(TIMESTAMPS, shown))
 
 
+FREE_FORMS = [
+    "Jan 5th 2025", "Sunday, January 5, 2025", "05-Jan-25", "1/5/25", "Sun Jan 5 10:15:00 2025", "5th of January 2025 at 10am",
+    "January 5, 2025 10:15 PM", "5jan2025", "Jan-05-2025", "2025 January 5", "2025-Jan-05", "Sun, 05 Jan 2025 10:15:00 GMT",
+    "Sun, 05 Jan 2025 10:15:00 +0200", "13/1/25", "99/1/5", "31 Feb 2025", "Jan 5 2025 25:00", "Jan 5 2025 13:00 PM", "12 am Jan 5 2025",
+    "Jan 5 2025 12am", "5 Jan 68", "Sept 5 2025", "Jan 5 2025 Jan", "marble 5 2025", "5.1.25", "1-5-25 10:15", "Jan. 5, 2025",
+    "January 5 2025 10:15:30.25", "Mon Jan 5 2025 T10:15", "march 3 25", "2025 5 Jan", "1/5/2025 at 10:15", "the 5th of Jan 2025",
+    "Jan 5 20255", "Jan 0 2025", "1/2/3", "Jan 5, 2025, 10:15 a.m.", "Jan 5 2025 am", "may be 3", "13/13/25",
+]
+
+
+def test_free_forms_match_a_general_parser(rows):
+    got = apply(rows, timestamps.parse_timestamp, FREE_FORMS)
+    assert dict(zip(FREE_FORMS, got)) == {v: python_timestamp(v) for v in FREE_FORMS}
+
+
+def test_years_of_two_digits_have_a_fixed_century(rows):
+    got = apply(rows, timestamps.parse_date, ["5 Jan 00", "5 Jan 68", "5 Jan 69", "1/5/99"])
+    assert [d.year for d in got] == [2000, 2068, 1969, 1999]
+
+
 def test_incomplete_timestamps_are_not_filled_from_today(rows):
-    values = ["10:15", "2025", "2025-03", "March", "", "  ", None, "T10:15", "1"]
+    values = ["10:15", "2025", "2025-03", "March", "", "  ", None, "T10:15", "1", "Jan 5", "Jan 2025", "Sunday", "5th", "1/5", "Sunday 10:15"]
     assert apply(rows, timestamps.parse_timestamp, values) == [None] * len(values)
     assert apply(rows, timestamps.is_blank, values) == [v is None or not v.strip() for v in values]
 
@@ -103,22 +124,43 @@ def test_numbers_are_told_from_junk_whatever_their_size(rows):
 
 
 def test_numbers_without_room_have_a_reason(rows):
-    amounts = ["12.00", "9999999999.99", "12345678901.00", "123456789012345.67", "9" * 16, "1e300", "0.123456789", "x", None]
-    assert apply(rows, numbers.amount_problem, amounts) == [
-        None, None, "too large for the curated table", "too large for the curated table", "too large to be checked",
-        "too large to be checked", "checked at 8 decimals", None, None,
-    ]
-    quantities = ["2", "2.5", "3000000000", "9" * 15, "9" * 30, "-" + "9" * 15, "1e40", "x", None]
-    assert apply(rows, numbers.quantity_problem, quantities) == [
-        None, None, "too large for the curated table", *["too large to be checked"] * 4, None, None,
-    ]
+    curated, checked = "too large for the curated table", "too large to be checked"
+    amounts = {
+        "12.00": None, "9999999999.99": None, "12345678901.00": curated, "123456789012345.67": curated, "9" * 16: curated,
+        "9" * 36: curated, "9" * 37: checked, "1e300": checked, "0.123456789": None, "0." + "1" * 18: None, "0." + "1" * 19: checked,
+        "1.50" + "0" * 30: None, "x": None, None: None,
+    }
+    assert apply(rows, numbers.amount_problem, list(amounts)) == list(amounts.values())
+    quantities = {
+        "2": None, "2.5": None, "3000000000": curated, "9" * 15: curated, "9" * 18: curated, "9" * 19: checked, "9" * 30: checked,
+        "-" + "9" * 15: curated, "1e40": checked, "1e2000": checked, "9" * 30 + ".5": None, "x": None, None: None,
+    }
+    assert apply(rows, numbers.quantity_problem, list(quantities)) == list(quantities.values())
+
+
+def test_numbers_beyond_the_working_type(rows):
+    texts = {
+        "12.34": False, "123456789.12345678": False, "0.123456789": True, "12.340000000": False, "9" * 15: False, "9" * 16: True,
+        "1e3": False, "1e-9": True, "1e15": True, "1_000.00": False, "12." + "0" * 19: False, "12." + "0" * 19 + "1": True, "x" * 20: False,
+        None: False,
+    }
+    assert apply(rows, numbers.is_beyond, list(texts)) == list(texts.values())
+    whole = {"9" * 14: None, "9" * 15: 10**15 - 1, "-" + "9" * 18: 1 - 10**18, "1e17": 10**17, "9" * 19: None, "9" * 16 + ".5": None}
+    assert apply(rows, numbers.large_whole, list(whole)) == list(whole.values())
+
+
+def test_amounts_are_rounded_once(rows):
+    assert [str(x) for x in apply(rows, numbers.money, ["0.00499999999", "0.005", "-2.345", "1_0"])] == ["0.00", "0.01", "-2.35", "10.00"]
+    limbs = lambda c: wide.cents(numbers.limbs(c), "decimal(12,2)")
+    got = apply(rows, limbs, ["0.00499999999", "0.005", "-2.345", "9999999999.994", "9999999999.995", "9" * 20, None])
+    assert [None if x is None else str(x) for x in got] == ["0.00", "0.01", "-2.35", "9999999999.99", None, None, None]
 
 
 def test_amounts_print_as_written(rows):
-    values = ["50.00", "50", "-6.5", "0.125", "-0.50", "12.1234567"]
-    shown = apply(rows, lambda c: numbers.as_written(numbers.to_decimal(c), numbers.decimals_in(c)), values)
-    assert shown == ["50.00", "50", "-6.5", "0.125", "-0.50", "12.1234567"]
-    assert apply(rows, lambda c: numbers.as_written(numbers.to_decimal(c), numbers.decimals_in(c)), ["1e3"]) == ["1000.00000000"]
+    values = ["50.00", "50", "-6.5", "0.125", "-0.50", "12.1234567", "9" * 30 + ".123456789"]
+    show = lambda c: wide.text(numbers.limbs(c), numbers.decimals_in(c))
+    assert apply(rows, show, values) == values
+    assert apply(rows, show, ["1e3", "1.23456789012e0"]) == ["1000.00000000", "1.23456789012"]
 
 
 def test_tolerance_is_strict(rows):
@@ -159,6 +201,19 @@ def test_email(rows):
     assert dict(zip(bad, apply(rows, contact.is_valid_email, bad))) == dict.fromkeys(bad, False)
 
 
+def test_encoded_host_names(rows):
+    """Against the standard library's encoding."""
+    rng = random.Random(3)
+    pool = "abcxyz019-" + "üéñßжщ日本語한글🙂𝒜ā"
+    labels = ["ü" * n for n in (1, 2, 55, 56, 57, 58, 59, 60)] + ["bücher", "пример", "a", "a-b", "🙂" * 30, "日" * 30 + "本" * 20]
+    labels += ["".join(rng.choices(pool, k=rng.randint(1, 40))) for _ in range(100)]
+    want = [len(x) if x.isascii() else 4 + len(x.encode("punycode")) for x in labels]
+    assert apply(rows, contact.encoded_length, labels) == want
+    hosts = {"a@" + "ü" * 50 + ".com": True, "a@" + "ü" * 60 + ".com": False, "a@" + ".".join(["ü" * 40] * 6) + ".com": False,
+             "a@" + ".".join(["ü" * 40] * 4) + ".com": True, "a@" + "x" * 63 + ".com": True}
+    assert apply(rows, contact.is_valid_email, list(hosts)) == list(hosts.values())
+
+
 def test_active_flag(rows):
     values = ["Y", " yes ", "TRUE", "1", "true", "N", "", None, "0", "T"]
     assert apply(rows, contact.is_active, values) == [True] * 5 + [False] * 5

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import random
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from feeds import staging
 
 from tidyledger.plans.report import numbers_not_held
+from tidyledger.rules import violations
 from tidyledger.rules.registry import ACTIONS, RULE_IDS, RULES, drift, load_registry, registry
 from tidyledger.rules.run import find_violations, run_rules, with_severity_rank
 from tidyledger.schemas import EXCEPTIONS, struct_of
@@ -184,6 +187,7 @@ def test_large_numbers_are_compared_and_never_called_junk(spark):
         ("O1", text.format("O1", "123456789012345.67", "20.00", "123456789012325.67")),
         ("O2", text.format("O2", "30000000000.02", "30000000000.00", "0.02")),
         ("O3", text.format("O3", "20.01000001", "20.00", "0.01000001")),
+        ("O6", text.format("O6", "9" * 20, "20.00", "99999999999999999979.00")),
     ]
     assert found(stg, "DQ007") == [("O5", f"order_id=O5: completed-order quantity -{'9' * 20} is not positive.")]
     held = {(r.record_key, r.column_name, r.problem) for r in numbers_not_held(stg).collect()}
@@ -191,7 +195,8 @@ def test_large_numbers_are_compared_and_never_called_junk(spark):
         ("O1", "order_total", "too large for the curated table"), ("O1", "order_amount_variance", "too large for the curated table"),
         ("O2", "quantity", "too large for the curated table"), ("O2", "order_total", "too large for the curated table"),
         ("O2", "calculated_order_amount", "too large for the curated table"), ("O4", "quantity", "too large to be checked"),
-        ("O5", "quantity", "too large to be checked"), ("O6", "order_total", "too large to be checked"),
+        ("O5", "quantity", "too large to be checked"), ("O6", "order_total", "too large for the curated table"),
+        ("O6", "order_amount_variance", "too large for the curated table"),
     }
 
 
@@ -268,3 +273,74 @@ def test_drift_goes_both_ways(spark):
     left = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "k string")
     right = spark.createDataFrame([("b",), ("c",), ("c",), (None,)], "k string")
     assert sorted(map(tuple, drift(left, right, "k").collect())) == [("a", "only on the left"), ("c", "only on the right")]
+
+
+def test_numbers_wider_than_the_working_type_are_compared_exactly(spark):
+    large, long = "1234567890123456789012345678901234.00", "0.123456789012345678"
+    orders = [
+        {"order_id": "O1", "product_id": "P1", "quantity": "2", "order_total": "2469135780246913578024691357802468.00"},
+        {"order_id": "O2", "product_id": "P1", "quantity": "2", "order_total": "2469135780246913578024691357802468.02"},
+        {"order_id": "O3", "product_id": "P2", "quantity": "1", "order_total": "0.133456789012345679"},
+        {"order_id": "O4", "product_id": "P2", "quantity": "1", "order_total": "0.133456789012345678"},
+        {"order_id": "O5", "product_id": "P3", "quantity": "123456789012345678", "order_total": "246913578024691356.02"},
+        {"order_id": "O6", "product_id": "P3", "quantity": "1", "order_total": "1" + "0" * 36},
+        {"order_id": "O7", "product_id": "P3", "quantity": "-123456789012345678", "order_total": "2.00"},
+    ]
+    products = [{"product_id": f"P{i}", "unit_price": p} for i, p in enumerate([large, long, "2.00"], 1)]
+    payments = [
+        {"payment_id": "PMT1", "order_id": "O1", "amount": "2469135780246913578024691357802468.010000001"},
+        {"payment_id": "PMT2", "order_id": "O1", "amount": "2469135780246913578024691357802468.01"},
+        {"payment_id": "PMT3", "order_id": "O3", "amount": "0.123456789012345678"},
+        {"payment_id": "PMT4", "order_id": "O6", "amount": "1" + "0" * 36},
+    ]
+    stg = staging(spark, orders=orders, products=products, payments=payments)
+    text = "order_id={}: order_total={} vs quantity*unit_price={} (diff={})."
+    assert found(stg, "DQ008") == [
+        ("O2", text.format("O2", "2469135780246913578024691357802468.02", "2469135780246913578024691357802468.00", "0.02")),
+        ("O3", text.format("O3", "0.133456789012345679", long, "0.010000000000000001")),
+        ("O5", text.format("O5", "246913578024691356.02", "246913578024691356.00", "0.02")),
+        ("O7", text.format("O7", "2.00", "-246913578024691356.00", "246913578024691358.00")),
+    ]
+    settled = "payment_id={}: settled payment {} != completed order total {} (diff={})."
+    assert found(stg, "DQ010") == [
+        ("PMT1", settled.format(
+            "PMT1", payments[0]["amount"], "2469135780246913578024691357802468.00", "-0.010000001")),
+        ("PMT3", settled.format("PMT3", "0.123456789012345678", "0.133456789012345679", "0.010000000000000001")),
+    ]
+    assert found(stg, "DQ007") == [("O7", "order_id=O7: completed-order quantity -123456789012345678 is not positive.")]
+    listed = {(r.record_key, r.column_name) for r in numbers_not_held(stg).filter("problem = 'too large to be checked'").collect()}
+    assert listed == {("O6", "order_total"), ("PMT4", "amount")}
+
+
+@pytest.mark.parametrize("most", [4096, 3])
+def test_every_total_a_payment_disagrees_with(spark, most, monkeypatch):
+    """Against all pairs; identical order rows count once, and runs of totals may be short."""
+    rng = random.Random(4)
+    totals = ["20.00", "20.0", "20.01", "20.02", "19.99", "5", "-1.00", "x", None, "1e2", "123456789012345678.5", "20.005", "20.0100000001"]
+    orders = [
+        {"order_id": rng.choice(["O1", "O1", "O1", "O2", None]), "order_total": rng.choice(totals), "shipping_state": rng.choice(["IL", "NY"]),
+         "order_status": rng.choice(["completed", " Completed", "returned"])}
+        for _ in range(120)
+    ]
+    payments = [
+        {"payment_id": f"PMT{i}", "order_id": rng.choice(["O1", "O2", "O3", None]), "amount": rng.choice(totals),
+         "payment_status": rng.choice(["settled", "Settled ", "voided"])}
+        for i in range(40)
+    ]
+    stg = staging(spark, orders=orders, payments=payments)
+    monkeypatch.setattr(violations.total_runs, "__defaults__", (most,))
+    value = lambda t: None if t in ("x", None) else Decimal(t)
+    kept = {(o["order_id"], o["order_total"], o["shipping_state"], o["order_status"]) for o in orders}
+    want = sorted(
+        (p["payment_id"], p["order_id"], total)
+        for p in payments for order_id, total, _, status in kept
+        if p["order_id"] and p["order_id"] == order_id and status.strip().lower() == "completed"
+        and p["payment_status"].strip().lower() == "settled" and value(total) is not None and value(p["amount"]) is not None
+        and abs(value(total) - value(p["amount"])) > Decimal("0.01")
+    )
+    got = violations.disagreeing_totals(stg).collect()
+    assert sorted((r.payment_id, r.order_id, r.order_total) for r in got) == want and want
+    one = {r.record_key for r in find_violations(stg, ["DQ010"]).collect()}
+    assert {r.payment_id for r in got} == one
+    named = {(r.record_key, r.issue_description) for r in find_violations(stg, ["DQ010"]).collect()}
+    assert named <= {(r.payment_id, r.issue_description) for r in got}

@@ -44,6 +44,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
             "product_name": "p_name",
             "category": "p_type",
             "unit_price": "CASE WHEN p_partkey % 59 = 7 THEN 'n/a' WHEN p_partkey % 401 = 8 THEN '1.5e2' "
+            "WHEN p_partkey % 409 = 9 THEN '99.123456789' "
             "ELSE cast(cast(p_retailprice AS decimal(12,2)) AS string) END",
             "active_flag": "CASE WHEN p_partkey % 10 = 0 THEN 'N' WHEN p_partkey % 10 = 1 THEN ' yes ' "
             "WHEN p_partkey % 31 = 5 THEN NULL ELSE 'Y' END",
@@ -105,6 +106,8 @@ def _order_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TOTAL = (
     "CASE WHEN o % 103 = 7 THEN 'n/a' WHEN o % 317 = 12 THEN '123456789012345.67' "
     "WHEN o % 331 = 13 THEN concat(due, '000001') WHEN o % 337 = 14 THEN '1.5e3' WHEN o % 347 = 15 THEN '1_000.00' "
+    "WHEN o % 349 = 17 THEN '1234567890123456.00' WHEN o % 359 = 18 THEN '1234567890123456789012345678901234567.5' "
+    "WHEN o % 367 = 19 THEN concat(cast(due + 0.01 AS decimal(12,2)), '0000001') "
     "ELSE cast(cast(due + if(o % 101 = 0, 6, 0) AS decimal(12,2)) AS string) END"
 )
 
@@ -156,6 +159,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
             "payment_status": "CASE WHEN status = 'P' THEN 'voided' WHEN status = 'O' AND o % 20 = 0 THEN ' Settled ' "
             "WHEN status = 'O' AND o % 10 <> 0 THEN 'refunded' ELSE 'settled' END",
             "amount": "CASE WHEN o % 107 = 0 THEN '1.00' WHEN o % 109 = 1 THEN cast(due + 0.01000001 AS string) "
+            "WHEN o % 127 = 3 THEN concat(cast(due + 0.01 AS decimal(12,2)), '0000001') "
             f"WHEN o % 113 = 2 THEN cast(due + 0.01 AS string) ELSE {_TOTAL} END",
             "source_row": "o",
         },

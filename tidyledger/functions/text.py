@@ -23,6 +23,11 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
+def sql_strip(name: str) -> str:
+    """``strip`` as SQL text."""
+    return f"btrim({name}, {sql_text(WHITESPACE)})"
+
+
 def stripped_or_null(c: Column) -> Column:
     """Stripped text, NULL when nothing is left."""
     return F.nullif(strip(c), F.lit(""))

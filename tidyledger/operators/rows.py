@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -37,3 +37,16 @@ def first_per_group(df: DataFrame, group: str, order: Sequence[Column], n: int,
     """
     position = F.row_number().over(W.partitionBy(group).orderBy(*order))
     return df.withColumn(rank, position).filter(F.col(rank) <= n)
+
+
+def places_before(array: str, before: Callable[[Column], Column], bits: int = 16) -> Column:
+    """How many elements at the start of a sorted array satisfy ``before``, which holds up to some place and not after it.
+
+    A binary search folded over ``bits`` steps; the array has fewer than 2^bits elements.
+    """
+
+    def step(found: Column, bit: Column) -> Column:
+        further = found + F.call_function("shiftleft", F.lit(1), bit)
+        return F.when((further <= F.size(array)) & before(F.get(F.col(array), further - 1)), further).otherwise(found)
+
+    return F.aggregate(F.sequence(F.lit(bits - 1), F.lit(0), F.lit(-1)), F.lit(0), step)

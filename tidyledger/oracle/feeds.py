@@ -13,6 +13,7 @@ def pick(n: str, *choices: str | None) -> str:
 _PRODUCT = """
 SELECT 'P' || p_partkey AS product_id, p_name AS product_name, p_type AS category,
   CASE WHEN p_partkey % 59 = 7 THEN 'n/a' WHEN p_partkey % 401 = 8 THEN '1.5e2'
+       WHEN p_partkey % 409 = 9 THEN '99.123456789'
        ELSE CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS VARCHAR) END AS unit_price,
   CASE WHEN p_partkey % 10 = 0 THEN 'N' WHEN p_partkey % 10 = 1 THEN ' yes '
        WHEN p_partkey % 31 = 5 THEN NULL ELSE 'Y' END AS active_flag,
@@ -49,6 +50,8 @@ FROM ({_CUSTOMER}) WHERE k % 50 = 7
 
 _TOTAL = """CASE WHEN o % 103 = 7 THEN 'n/a' WHEN o % 317 = 12 THEN '123456789012345.67'
   WHEN o % 331 = 13 THEN due || '000001' WHEN o % 337 = 14 THEN '1.5e3' WHEN o % 347 = 15 THEN '1_000.00'
+  WHEN o % 349 = 17 THEN '1234567890123456.00' WHEN o % 359 = 18 THEN '1234567890123456789012345678901234567.5'
+  WHEN o % 367 = 19 THEN CAST(CAST(due + 0.01 AS DECIMAL(12,2)) AS VARCHAR) || '0000001'
   ELSE CAST(CAST(due + CASE WHEN o % 101 = 0 THEN 6 ELSE 0 END AS DECIMAL(12,2)) AS VARCHAR) END"""
 
 ORDER_BASE = """
@@ -103,6 +106,7 @@ SELECT 'PMT' || o AS payment_id, CASE WHEN o % 211 = 3 THEN 'O-1' WHEN o % 223 =
   CASE WHEN status = 'P' THEN 'voided' WHEN status = 'O' AND o % 20 = 0 THEN ' Settled '
        WHEN status = 'O' AND o % 10 <> 0 THEN 'refunded' ELSE 'settled' END AS payment_status,
   CASE WHEN o % 107 = 0 THEN '1.00' WHEN o % 109 = 1 THEN CAST(CAST(due AS DECIMAL(18,8)) + 0.01000001 AS VARCHAR)
+       WHEN o % 127 = 3 THEN CAST(CAST(due + 0.01 AS DECIMAL(12,2)) AS VARCHAR) || '0000001'
        WHEN o % 113 = 2 THEN CAST(CAST(due + 0.01 AS DECIMAL(13,2)) AS VARCHAR) ELSE {_TOTAL} END AS amount, o AS source_row
 FROM order_base
 """

@@ -90,30 +90,31 @@ _PROFILED = {
 
 def _held(table: str, dataset: str, key: str, column: str) -> str:
     """Amounts that a type does not hold."""
-    working, exact = t.number(column), t.number(column, "DECIMAL(38,18)")
     problem = (
-        f"CASE WHEN {working} IS NULL THEN 'too large to be checked' WHEN {t.money(working)} IS NULL "
-        f"THEN 'too large for the curated table' WHEN {exact} <> {working} THEN 'checked at 8 decimals' END"
+        f"CASE WHEN {t.too_wide(column)} THEN 'too large to be checked' WHEN {t.number(column, 'DECIMAL(12,2)')} IS NULL "
+        "THEN 'too large for the curated table' END"
     )
     return f"""SELECT '{dataset}' AS dataset, {key} AS record_key, '{column}' AS column_name, {column} AS raw, {problem} AS problem
 FROM {table} WHERE {t.is_number(column)}"""
 
 
-_CALCULATED = f"""SELECT o.order_id, {t.product(t.whole('o.quantity'), 'p.price')} AS calculated, {t.number('o.order_total')} AS total
-FROM fx_orders o JOIN prices p ON p.product_id = o.product_id"""
+def _computed(column: str, n: str) -> str:
+    return f"""SELECT 'orders', order_id, '{column}', {t.written(n, '9')} || '000000000',
+    CASE WHEN {n} IS NOT NULL AND {t.cents(n)} IS NULL THEN 'too large for the curated table' END
+  FROM (SELECT o.order_id, {t.large_whole('o.quantity')} * p.price AS calculated, {t.nano('o.order_total')} AS total
+    FROM fx_orders o JOIN prices p ON p.product_id = o.product_id)"""
+
+
 _NOT_HELD = f"""SELECT * FROM (
   SELECT 'orders' AS dataset, order_id AS record_key, 'quantity' AS column_name, quantity AS raw,
-    CASE WHEN {t.oversized('quantity')} THEN 'too large to be checked'
-         WHEN {t.whole('quantity')} IS NOT NULL AND {t.integer('quantity')} IS NULL THEN 'too large for the curated table' END AS problem
+    CASE WHEN {t.is_number('quantity')} AND {t.large_whole('quantity')} IS NOT NULL AND {t.integer('quantity')} IS NULL
+      THEN 'too large for the curated table' END AS problem
   FROM fx_orders
   UNION ALL {_held('fx_orders', 'orders', 'order_id', 'order_total')}
   UNION ALL {_held('fx_products', 'products', 'product_id', 'unit_price')}
   UNION ALL {_held('fx_payments', 'payments', 'payment_id', 'amount')}
-  UNION ALL SELECT 'orders', order_id, 'calculated_order_amount', CAST(CAST(calculated AS DECIMAL(38,8)) AS VARCHAR),
-    CASE WHEN calculated IS NOT NULL AND {t.money('calculated')} IS NULL THEN 'too large for the curated table' END FROM ({_CALCULATED})
-  UNION ALL SELECT 'orders', order_id, 'order_amount_variance', CAST(CAST(total - calculated AS DECIMAL(38,8)) AS VARCHAR),
-    CASE WHEN total - calculated IS NOT NULL AND {t.money('total - calculated')} IS NULL THEN 'too large for the curated table' END
-  FROM ({_CALCULATED})) WHERE problem IS NOT NULL"""
+  UNION ALL {_computed('calculated_order_amount', 'calculated')}
+  UNION ALL {_computed('order_amount_variance', '(total - calculated)')}) WHERE problem IS NOT NULL"""
 
 _CURATED = ("dim_customer", "dim_product", "fact_order", "fact_payment", "fact_customer_issue")
 _CELL = "replace(issue_description, '|', '\\|')"
@@ -182,6 +183,18 @@ GROUP BY ALL""",
         "email_syntax_valid": query(
             f"SELECT source_row, email AS raw, {t.email_ok('email')} AS valid FROM fx_customers", "fx_customers"
         ),
+        "read_csv_products": query(
+            "SELECT product_id, replace(product_name, ' ', chr(10)) AS product_name, category, unit_price, active_flag FROM fx_products",
+            "fx_products",
+        ),
+        "read_jsonl_tickets": query("SELECT * EXCLUDE (source_row) FROM fx_tickets", "fx_tickets"),
+        "dedup_exact_kept_from_files": query("SELECT * EXCLUDE (source_row) FROM orders_kept", "orders_kept"),
+        "dedup_pk_winners_from_files": query(
+            "SELECT * EXCLUDE (source_row) FROM fx_customers QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY source_row) = 1",
+            "fx_customers",
+        ),
+        "exceptions_from_files": query("SELECT * FROM exceptions", "exceptions"),
+        "export_csv_exceptions": query("SELECT * FROM exceptions WHERE dataset IN ('orders', 'payments')", "exceptions"),
         "dedup_exact_kept": query("SELECT * FROM orders_kept", "orders_kept"),
         "dedup_exact_dropped": query(
             f"SELECT * EXCLUDE (same) FROM (SELECT *, row_number() OVER (PARTITION BY {t._KEPT} ORDER BY source_row) AS same "
@@ -290,6 +303,7 @@ FROM rules r LEFT JOIN (
     (SELECT coalesce(sum({t.number('amount')}), 0) FROM fx_payments WHERE payment_status = 'settled'))""",
             "fact_order", "fx_orders", "fact_payment", "fx_payments",
         ),
+        "dq010_disagreeing_totals": query(t.DISAGREEING_TOTALS, "fx_payments", "orders_kept"),
         "numbers_not_held": query(_NOT_HELD, "fx_orders", "fx_products", "fx_payments", "prices"),
         "table_profile": query(
             " UNION ALL ".join(
@@ -350,4 +364,5 @@ FROM ({_Q4}) ORDER BY completed_revenue DESC NULLS LAST, state LIMIT 1""",
     }
     for rule_id, name in names.items():
         out[name] = _rule(rule_id)
+    out["read_sources_row_counts"] = out["ingest_row_counts"]
     return out

@@ -61,8 +61,26 @@ def integer(c: str) -> str:
     return f"TRY_CAST({whole(c)} AS INTEGER)"
 
 
-def product(quantity: str, price: str) -> str:
-    return f"CAST({quantity} * {price} AS DECIMAL(37,8))"
+def nano(c: str) -> str:
+    """The number in units of 10^-9, which holds every digit of the seeds."""
+    return f"TRY_CAST(replace(CAST({number(c, 'DECIMAL(38,9)')} AS VARCHAR), '.', '') AS HUGEINT)"
+
+
+def large_whole(c: str) -> str:
+    d = number(c, "DECIMAL(38,18)")
+    return f"CASE WHEN {d} = floor({d}) THEN CAST(TRY_CAST({d} AS DECIMAL(18,0)) AS HUGEINT) END"
+
+
+def written(n: str, decimals: str) -> str:
+    """A number in units of 10^-9 as text."""
+    return (
+        f"(CASE WHEN {n} < 0 THEN '-' ELSE '' END || CAST(abs({n}) // 1000000000 AS VARCHAR) || CASE WHEN ({decimals}) > 0 "
+        f"THEN '.' || left(lpad(CAST(abs({n}) % 1000000000 AS VARCHAR), 9, '0'), ({decimals})::INTEGER) ELSE '' END)"
+    )
+
+
+def cents(n: str) -> str:
+    return f"TRY_CAST({written(n, '9')} AS DECIMAL(12,2))"
 
 
 def is_number(c: str) -> str:
@@ -76,12 +94,12 @@ def oversized(c: str) -> str:
 
 def places(c: str) -> str:
     text = f"replace({strip(c)}, '_', '')"
-    return f"CASE WHEN regexp_matches({text}, '[eE]') THEN 8 ELSE least(length(regexp_extract({text}, '[.]([0-9]+)$', 1)), 8) END"
+    return f"CASE WHEN regexp_matches({text}, '[eE]') THEN 8 ELSE length(regexp_extract({text}, '[.]([0-9]+)$', 1)) END"
 
 
-def written(amount: str, decimals: str) -> str:
-    text = f"CAST(CAST({amount} AS DECIMAL(38,8)) AS VARCHAR)"
-    return f"left({text}, length({text}) - 8 + ({decimals}) - CASE WHEN ({decimals}) = 0 THEN 1 ELSE 0 END)"
+def too_wide(c: str) -> str:
+    """More than 36 digits before the point."""
+    return f"regexp_full_match(replace({strip(c)}, '_', ''), '[+-]?0*[1-9][0-9]{{36,}}([.].*)?')"
 
 
 def money(expr: str) -> str:
@@ -137,7 +155,7 @@ FROM (SELECT * FROM fx_customers QUALIFY row_number() OVER (PARTITION BY custome
 """
 
 DIM_PRODUCT = f"""
-SELECT product_id AS product_key, product_name, category, {money(number('unit_price'))} AS unit_price,
+SELECT product_id AS product_key, product_name, category, {number('unit_price', 'DECIMAL(12,2)')} AS unit_price,
   coalesce(upper({strip('active_flag')}) IN ({q_list(_ACTIVE)}), FALSE) AS active_flag
 FROM fx_products
 """
@@ -145,23 +163,24 @@ FROM fx_products
 ORDERS_KEPT = f"SELECT * FROM fx_orders QUALIFY row_number() OVER (PARTITION BY {_KEPT} ORDER BY source_row) = 1"
 
 PRICES = f"""
-SELECT product_id, unit_price, {number('unit_price')} AS price FROM fx_products
+SELECT product_id, unit_price, {nano('unit_price')} AS price FROM fx_products
 QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY source_row) = 1
 """
 
 FACT_ORDER = f"""
 SELECT order_id AS order_key, customer_id AS customer_key, o.product_id AS product_key, order_date, quantity,
-  order_status, shipping_state, {money('gross')} AS gross_order_amount,
-  {money(product('n', 'price'))} AS calculated_order_amount, {money('gross - ' + product('n', 'price'))} AS order_amount_variance
-FROM (SELECT order_id, customer_id, product_id, {date('order_ts')} AS order_date, {whole('quantity')} AS n,
-        {integer('quantity')} AS quantity, order_status, {state('shipping_state')} AS shipping_state, {number('order_total')} AS gross
+  order_status, shipping_state, gross AS gross_order_amount,
+  {cents('(n * price)')} AS calculated_order_amount, {cents('(total - n * price)')} AS order_amount_variance
+FROM (SELECT order_id, customer_id, product_id, {date('order_ts')} AS order_date, {large_whole('quantity')} AS n,
+        {integer('quantity')} AS quantity, order_status, {state('shipping_state')} AS shipping_state,
+        {number('order_total', 'DECIMAL(12,2)')} AS gross, {nano('order_total')} AS total
       FROM orders_kept) o
 LEFT JOIN prices p ON p.product_id = o.product_id
 """
 
 FACT_PAYMENT = f"""
 SELECT payment_id AS payment_key, order_id AS order_key, {date('payment_ts')} AS payment_date, payment_method,
-  payment_status, {money(number('amount'))} AS payment_amount
+  payment_status, {number('amount', 'DECIMAL(12,2)')} AS payment_amount
 FROM fx_payments
 """
 
@@ -222,9 +241,9 @@ WHERE quantity IS NULL OR n <= 0 OR (n IS NULL AND (NOT large OR starts_with({st
     "DQ008": f"""
 SELECT order_id AS record_key, 'order_id=' || coalesce(order_id, '<missing>') || ': order_total=' || replace({strip('order_total')}, '_', '')
   || ' vs quantity*unit_price=' || {written('calculated', places('unit_price'))} || ' (diff='
-  || {written('total - calculated', f"greatest({places('order_total')}, {places('unit_price')})")} || ').' AS issue_description
-FROM (SELECT o.*, p.unit_price, {number('order_total')} AS total, {product(whole('quantity'), 'p.price')} AS calculated
-      FROM fx_orders o JOIN prices p ON p.product_id = o.product_id) WHERE abs(total - calculated) > 0.01""",
+  || {written('(total - calculated)', f"greatest({places('order_total')}, {places('unit_price')})")} || ').' AS issue_description
+FROM (SELECT o.*, p.unit_price, {nano('order_total')} AS total, {large_whole('quantity')} * p.price AS calculated
+      FROM fx_orders o JOIN prices p ON p.product_id = o.product_id) WHERE abs(total - calculated) > 10000000""",
     "DQ009": """
 SELECT payment_id AS record_key, CASE WHEN order_id IS NULL THEN 'payment_id=' || payment_id || ': payment order_id is missing.'
   ELSE 'Orphan payment: order_id=' || order_id || ' not found in orders (payment_id=' || payment_id || ').' END AS issue_description
@@ -232,14 +251,14 @@ FROM fx_payments p WHERE NOT EXISTS (SELECT 1 FROM fx_orders o WHERE o.order_id
     "DQ010": f"""
 SELECT payment_id AS record_key, 'payment_id=' || payment_id || ': settled payment ' || replace({strip('amount')}, '_', '')
   || ' != completed order total ' || replace({strip('order_total')}, '_', '') || ' (diff='
-  || {written('total - paid', f"greatest({places('amount')}, {places('order_total')})")} || ').' AS issue_description
-FROM (SELECT p.payment_id, p.amount, {number('p.amount')} AS paid, o.order_total, {number('o.order_total')} AS total
+  || {written('(total - paid)', f"greatest({places('amount')}, {places('order_total')})")} || ').' AS issue_description
+FROM (SELECT p.payment_id, p.amount, {nano('p.amount')} AS paid, o.order_total, {nano('o.order_total')} AS total
       FROM fx_payments p JOIN fx_orders o ON o.order_id = p.order_id
       WHERE {_done('payment_status', 'settled')} AND {_done('order_status', 'completed')}
-        AND {number('p.amount')} IS NOT NULL AND {number('o.order_total')} IS NOT NULL
-      QUALIFY row_number() OVER (PARTITION BY p.source_row ORDER BY abs({number('o.order_total')} - {number('p.amount')}) DESC,
-        {number('o.order_total')} DESC, o.order_total) = 1)
-WHERE abs(total - paid) > 0.01""",
+        AND {nano('p.amount')} IS NOT NULL AND {nano('o.order_total')} IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY p.source_row ORDER BY abs({nano('o.order_total')} - {nano('p.amount')}) DESC,
+        {nano('o.order_total')} DESC, o.order_total) = 1)
+WHERE abs(total - paid) > 10000000""",
     "DQ011": f"""
 SELECT ticket_id AS record_key, 'ticket_id=' || ticket_id || CASE WHEN coalesce({strip('created_ts')}, '') = ''
   THEN ': created_ts is missing.' ELSE ': created_ts failed to parse: ''' || created_ts || '''.' END AS issue_description
@@ -250,6 +269,15 @@ SELECT ticket_id AS record_key, 'ticket_id=' || ticket_id || CASE WHEN customer_
 FROM fx_tickets t WHERE NOT EXISTS (SELECT 1 FROM fx_customers c WHERE c.customer_id = t.customer_id)""",
 }
 
+DISAGREEING_TOTALS = f"""
+SELECT payment_id, order_id, order_total, 'payment_id=' || payment_id || ': settled payment ' || replace({strip('amount')}, '_', '')
+  || ' != completed order total ' || replace({strip('order_total')}, '_', '') || ' (diff='
+  || {written('(total - paid)', f"greatest({places('amount')}, {places('order_total')})")} || ').' AS issue_description
+FROM (SELECT p.payment_id, p.order_id, p.amount, {nano('p.amount')} AS paid, o.order_total, {nano('o.order_total')} AS total
+      FROM fx_payments p JOIN orders_kept o ON o.order_id = p.order_id
+      WHERE {_done('payment_status', 'settled')} AND {_done('order_status', 'completed')})
+WHERE abs(total - paid) > 10000000"""
+
 EXCEPTIONS = """
 SELECT r.rule_id, r.dataset, v.record_key, r.severity, v.issue_description, r.suggested_action
 FROM ({}) v JOIN rules r ON r.rule_id = v.rule_id

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidyledger.functions import numbers, wide
 from tidyledger.functions.contact import is_active, normalize_email
 from tidyledger.functions.geography import standardize_geo_columns, standardize_state
-from tidyledger.functions.numbers import times, to_decimal, to_money, to_whole
+from tidyledger.functions.numbers import MONEY, times, to_decimal, to_money, to_whole
 from tidyledger.functions.text import full_name
 from tidyledger.functions.timestamps import parse_date
 from tidyledger.operators.dedup import key_winners, mark_soft_duplicates
@@ -50,7 +51,7 @@ def dim_product(stg: Staging) -> DataFrame:
         F.col("product_id").alias("product_key"),
         "product_name",
         "category",
-        to_money(to_decimal(F.col("unit_price"))).alias("unit_price"),
+        numbers.money(F.col("unit_price")).alias("unit_price"),
         is_active(F.col("active_flag")).alias("active_flag"),
     )
     return conform(out, CURATED["dim_product"])
@@ -67,12 +68,19 @@ def fact_order(stg: Staging) -> DataFrame:
         "product_id",
         parse_date(F.col("order_ts")).alias("order_date"),
         to_whole(F.col("quantity")).alias("whole"),
+        numbers.large_whole(F.col("quantity")).alias("large"),
         "order_status",
         standardize_state(F.col("shipping_state")).alias("shipping_state"),
         to_decimal(F.col("order_total")).alias("gross"),
+        numbers.money(F.col("order_total")).alias("gross_money"),
+        F.when(numbers.is_beyond(F.col("order_total")), numbers.limbs(F.col("order_total"))).alias("gross_limbs"),
     )
     priced = typed.join(prices(stg.products).select("product_id", "unit_price"), "product_id", "left")
-    calculated = times(F.col("whole"), to_decimal(F.col("unit_price")))
+    price, gross = F.col("unit_price"), F.col("gross")
+    calculated = times(F.col("whole"), to_decimal(price))
+    beyond = numbers.is_beyond(price) | F.col("large").isNotNull()
+    product = wide.times(F.coalesce("large", "whole"), numbers.limbs(price))
+    variance = wide.minus(F.coalesce(F.col("gross_limbs"), wide.from_working(gross)), product)
     out = priced.select(
         F.col("order_id").alias("order_key"),
         F.col("customer_id").alias("customer_key"),
@@ -81,9 +89,11 @@ def fact_order(stg: Staging) -> DataFrame:
         F.col("whole").try_cast("int").alias("quantity"),
         "order_status",
         "shipping_state",
-        to_money(F.col("gross")).alias("gross_order_amount"),
-        to_money(calculated).alias("calculated_order_amount"),
-        to_money(F.col("gross") - calculated).alias("order_amount_variance"),
+        F.col("gross_money").alias("gross_order_amount"),
+        F.when(beyond, wide.cents(product, MONEY)).otherwise(to_money(calculated)).alias("calculated_order_amount"),
+        F.when(beyond | F.col("gross_limbs").isNotNull(), wide.cents(variance, MONEY))
+        .otherwise(to_money(gross - calculated))
+        .alias("order_amount_variance"),
     )
     return conform(out, CURATED["fact_order"])
 
@@ -101,7 +111,7 @@ def fact_payment(stg: Staging) -> DataFrame:
         parse_date(F.col("payment_ts")).alias("payment_date"),
         "payment_method",
         "payment_status",
-        to_money(to_decimal(F.col("amount"))).alias("payment_amount"),
+        numbers.money(F.col("amount")).alias("payment_amount"),
     )
     return conform(out, CURATED["fact_payment"])
 

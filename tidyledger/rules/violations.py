@@ -11,14 +11,14 @@ from collections.abc import Collection, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidyledger.functions import numbers
+from tidyledger.functions import numbers, wide
 from tidyledger.functions.contact import is_valid_email, normalize_email
 from tidyledger.functions.geography import standardize_country, standardize_state
 from tidyledger.functions.text import message, same_word, strip
 from tidyledger.functions.timestamps import is_blank, parse_timestamp
 from tidyledger.operators.dedup import key_losers
-from tidyledger.operators.lookups import known_keys, lookup
-from tidyledger.operators.rows import repeat_rows
+from tidyledger.operators.lookups import known_keys, lookup, own_exchange
+from tidyledger.operators.rows import places_before, repeat_rows
 from tidyledger.rules.staging import Staging
 from tidyledger.schemas import SOURCE_ROW
 
@@ -155,19 +155,20 @@ def _quantity_issue() -> Column:
     return F.when(same_word(F.col("order_status"), "completed"), issue)
 
 
+_TOTAL_TEXT = wide.sql_let(wide.sql_minus("x.total", "x.product"), "d", f"""if({wide.sql_apart('d')}, concat(
+  'order_id=', coalesce(x.order_id, '<missing>'), ': order_total=', {numbers.sql_digits('x.order_total')}, ' vs quantity*unit_price=',
+  {wide.sql_text('x.product', numbers.sql_decimals('x.unit_price'))}, ' (diff=',
+  {wide.sql_text('d', f"greatest({numbers.sql_decimals('x.order_total')}, {numbers.sql_decimals('x.unit_price')})")}, ').'), null)""")
+
+
 def _total_issue() -> Column:
-    price_places = numbers.decimals_in(F.col("unit_price"))
-    places = F.greatest(numbers.decimals_in(F.col("order_total")), price_places)
-    text = F.concat(
-        message("order_id={id}: order_total=", id="order_id"),
-        numbers.digits(F.col("order_total")),
-        F.lit(" vs quantity*unit_price="),
-        numbers.as_written(F.col("calculated"), price_places),
-        F.lit(" (diff="),
-        numbers.as_written(F.col("total") - F.col("calculated"), places),
-        F.lit(")."),
-    )
-    return F.when(numbers.disagree(F.col("total"), F.col("calculated")), text)
+    """Compared as working decimals where they hold all three numbers; the rest, and what is told, in limbs."""
+    total, price, quantity = F.col("order_total"), F.col("unit_price"), F.col("quantity")
+    product = wide.times(F.coalesce(F.col("qty"), numbers.large_whole(quantity)), numbers.limbs(price))
+    cells = F.struct("order_id", "order_total", "unit_price", numbers.limbs(total).alias("total"), product.alias("product"))
+    beyond = numbers.is_beyond(total) | numbers.is_beyond(price) | F.col("oversized")
+    told = wide.let(cells, f"x -> if(x.total is null or x.product is null, null, {_TOTAL_TEXT})")
+    return F.when(beyond | numbers.disagree(F.col("total"), F.col("calculated")), told)
 
 
 def order_rows(stg: Staging, wanted: Collection[str]) -> DataFrame:
@@ -199,26 +200,58 @@ def order_rows(stg: Staging, wanted: Collection[str]) -> DataFrame:
 # --- payments --------------------------------------------------------------------------------------------
 
 
+def completed_totals(orders: DataFrame) -> DataFrame:
+    """Order rows with ``total``, the limbs of a completed row's total, or NULL."""
+    total = F.when(same_word(F.col("order_status"), "completed"), numbers.limbs(F.col("order_total")))
+    return orders.withColumn("total", total)
+
+
 def known_orders(stg: Staging) -> DataFrame:
     """One row per order_id: that it is known, and its lowest and highest completed total with their texts.
 
     Two totals of fixed size stand for all of them: a payment that agrees with both agrees with every one between.
     """
-    text = F.col("order_total")
-    total = F.when(same_word(F.col("order_status"), "completed"), numbers.to_decimal(text))
-    lowest = F.min(F.when(total.isNotNull(), F.struct(total.alias("total"), text.alias("text"))))
-    highest = F.min(F.when(total.isNotNull(), F.struct((-total).alias("total"), text.alias("text"))))
-    ends = lookup(stg.orders, "order_id", lowest.alias("low"), highest.alias("high"), F.lit(True).alias("order_known"))
-    return ends.select(
-        "order_id", "order_known", "low", F.struct((-F.col("high.total")).alias("total"), F.col("high.text").alias("text")).alias("high")
+    text, total = F.col("order_total").alias("text"), F.col("total")
+    lowest = F.min(F.when(total.isNotNull(), F.struct(total.alias("total"), text)))
+    highest = F.min(F.when(total.isNotNull(), F.struct(wide.negative(total).alias("total"), text)))
+    rows = completed_totals(stg.orders.select("order_id", "order_status", "order_total"))
+    ends = lookup(rows, "order_id", lowest.alias("low"), highest.alias("high"), F.lit(True).alias("order_known"))
+    high = F.struct(wide.negative(F.col("high.total")).alias("total"), F.col("high.text").alias("text"))
+    return ends.select("order_id", "order_known", "low", high.alias("high"))
+
+
+def _difference(payment: str, amount: str, text: str, difference: str) -> str:
+    """What DQ010 says of a settled payment and a total of its order, as SQL."""
+    places = f"greatest({numbers.sql_decimals(amount)}, {numbers.sql_decimals(text)})"
+    return (
+        f"concat('payment_id=', coalesce({payment}, '<missing>'), ': settled payment ', {numbers.sql_digits(amount)}, "
+        f"' != completed order total ', {numbers.sql_digits(text)}, ' (diff=', {wide.sql_text(difference, places)}, ').')"
     )
 
 
+#: The total that differs most; the highest, if the lowest differs alike.
+_FARTHEST = wide.sql_let(
+    f"named_struct('low', {wide.sql_minus('x.low.total', 'x.paid')}, 'high', {wide.sql_minus('x.high.total', 'x.paid')})", "d",
+    wide.sql_let(
+        f"if({wide.sql_magnitude('d.high')} >= {wide.sql_magnitude('d.low')}, "
+        "named_struct('by', d.high, 'text', x.high.text), named_struct('by', d.low, 'text', x.low.text))", "e",
+        _difference("x.payment_id", "x.amount", "e.text", "e.by"),
+    ),
+)
+
+
+def _payment_issue() -> Column:
+    amount, low, high = F.col("amount"), F.col("low"), F.col("high")
+    outside = (low["total"] < numbers.limbs(amount, -numbers.TOLERANCE)) | (high["total"] > numbers.limbs(amount, numbers.TOLERANCE))
+    cells = F.struct("payment_id", "amount", "low", "high", numbers.limbs(amount).alias("paid"))
+    return F.when(same_word(F.col("payment_status"), "settled") & outside, wide.let(cells, f"x -> {_FARTHEST}"))
+
+
 def payment_rows(stg: Staging, wanted: Collection[str]) -> DataFrame:
     """DQ009 and DQ010 from one left join of payments to orders.
 
     A settled payment that disagrees with some completed row of its order disagrees with the lowest or the highest total.
-    It gives one exception, which names the total that differs most (the highest, if both differ alike).
+    It gives one exception; ``disagreeing_totals`` lists every total.
     """
     orders = known_orders(stg) if "DQ010" in wanted else known_keys(stg.orders, "order_id", "order_known")
     payments = stg.payments.select("payment_id", "order_id", "payment_status", "amount")
@@ -229,24 +262,60 @@ def payment_rows(stg: Staging, wanted: Collection[str]) -> DataFrame:
     missing = message("payment_id={id}: payment order_id is missing.", id="payment_id")
     issues = {"DQ009": F.when(F.col("order_id").isNull(), missing).when(F.col("order_known").isNull(), orphan)}
     if "DQ010" in wanted:
-        joined = joined.withColumn("paid", numbers.to_decimal(F.col("amount")))
-        gap = lambda end: F.abs(F.col(f"{end}.total") - F.col("paid"))
-        joined = joined.withColumn("end", F.when(gap("high") >= gap("low"), F.col("high")).otherwise(F.col("low")))
-        places = F.greatest(numbers.decimals_in(F.col("amount")), numbers.decimals_in(F.col("end.text")))
-        differs = F.concat(
-            message("payment_id={id}: settled payment ", id="payment_id"),
-            numbers.digits(F.col("amount")),
-            F.lit(" != completed order total "),
-            numbers.digits(F.col("end.text")),
-            F.lit(" (diff="),
-            numbers.as_written(F.col("end.total") - F.col("paid"), places),
-            F.lit(")."),
-        )
-        settled = same_word(F.col("payment_status"), "settled")
-        issues["DQ010"] = F.when(settled & numbers.disagree(F.col("end.total"), F.col("paid")), differs)
+        issues["DQ010"] = _payment_issue()
     return _expand(joined, "payment_id", _chosen(issues, wanted))
 
 
+#: Distinct totals of an order id that one row holds; an id with more has several rows.
+TOTALS = 4096
+
+
+def total_runs(orders: DataFrame, most: int = TOTALS) -> DataFrame:
+    """(order_id, totals): the distinct completed totals of every order id, sorted, with the number of rows of each.
+
+    An id of more than ``most`` totals is dealt to several rows by a hash of the total, so a placeholder id that holds a
+    third of the table is no single array.
+    """
+    rows = completed_totals(orders.select("order_id", "order_status", "order_total"))
+    kept = rows.filter(F.col("order_id").isNotNull() & F.col("total").isNotNull())
+    distinct = kept.groupBy("order_id", "total", F.col("order_total").alias("text")).agg(F.count(F.lit(1)).alias("rows"))
+    sizes = distinct.groupBy("order_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most)
+    runs = sizes.select("order_id", F.ceil(F.col("n") / most).cast("int").alias("runs"))
+    dealt = distinct.join(runs, "order_id", "left").withColumn(
+        "run", F.when(F.col("runs").isNotNull(), F.pmod(F.xxhash64("total", "text"), "runs")).otherwise(F.lit(0))
+    )
+    listed = F.sort_array(F.collect_list(F.struct("total", "text", "rows")))
+    return dealt.groupBy("order_id", "run").agg(listed.alias("totals")).select(own_exchange("order_id"), "totals")
+
+
+def disagreeing_totals(stg: Staging) -> DataFrame:
+    """(payment_id, order_id, order_total, issue_description): one row per settled payment and completed order row, identical
+    repeats aside, whose amounts differ by more than the tolerance.
+
+    A payment looks up, in each sorted run of its order's totals, where those that agree begin and end, and takes what lies
+    outside; totals that agree are never paired with it.
+    """
+    status = F.col("payment_status")
+    paid = stg.payments.select(
+        "payment_id", "order_id", "amount", numbers.limbs(F.col("amount")).alias("paid"),
+        numbers.limbs(F.col("amount"), -numbers.TOLERANCE).alias("least"), numbers.limbs(F.col("amount"), numbers.TOLERANCE).alias("most"),
+    ).filter(same_word(status, "settled") & F.col("paid").isNotNull())
+    met = paid.join(total_runs(stg.kept_orders), "order_id")
+    first = places_before("totals", lambda t: t["total"] < F.col("least"))
+    last = places_before("totals", lambda t: t["total"] <= F.col("most"))
+    bounded = met.select("*", first.alias("first"), last.alias("last"))
+    size = F.size("totals")
+    outside = F.concat(F.slice("totals", F.lit(1), F.col("first")), F.slice("totals", F.col("last") + 1, size - F.col("last")))
+    told = wide.sql_let(wide.sql_minus("x.t.total", "x.paid"), "d", _difference("x.payment_id", "x.amount", "x.t.text", "d"))
+    pairs = bounded.select("payment_id", "order_id", "amount", "paid", F.explode(outside).alias("t")).select(
+        "payment_id", "order_id", F.col("t.text").alias("order_total"), F.col("t.rows").alias("rows"),
+        wide.let(F.struct("payment_id", "amount", "paid", "t"), f"x -> {told}").alias("issue_description"),
+    )
+    return pairs.select(
+        "payment_id", "order_id", "order_total", "issue_description", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("copy")
+    ).drop("copy")
+
+
 # --- support tickets -------------------------------------------------------------------------------------
 
 
