@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
@@ -16,8 +18,10 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql.types import StructType  # noqa: E402
 
 from tidyledger import fixtures  # noqa: E402
+from tidyledger.batch import land  # noqa: E402
 from tidyledger.functions import contact, geography, numbers, timestamps  # noqa: E402
 from tidyledger.operators import dedup  # noqa: E402
 from tidyledger.oracle.statements import statements  # noqa: E402
@@ -25,8 +29,10 @@ from tidyledger.plans import answers, curate, report  # noqa: E402
 from tidyledger.rules.registry import RULES, drift, registry  # noqa: E402
 from tidyledger.rules.run import run_rules, with_severity_rank  # noqa: E402
 from tidyledger.rules.staging import Staging  # noqa: E402
-from tidyledger.schemas import EXCEPTION_TABLE, SOURCE_ROW  # noqa: E402
-from tidyledger.sources.raw import row_counts  # noqa: E402
+from tidyledger.rules.violations import disagreeing_totals  # noqa: E402
+from tidyledger.schemas import EXCEPTION_TABLE, RAW_COLUMNS, SOURCE_ROW  # noqa: E402
+from tidyledger.sinks import export_csv  # noqa: E402
+from tidyledger.sources.raw import SOURCE_FILES, read_csv, read_sources, row_counts  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +74,11 @@ def _on_exceptions(fn: Callable[[DataFrame, DataFrame], DataFrame], *datasets: s
     return query
 
 
+def _on_counts(fn: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    """fn(counts of the exceptions, rules)"""
+    return _on_exceptions(lambda ex, rules: fn(report.exception_counts(ex), rules))
+
+
 def _rule(rule_id: str) -> Query:
     return _on_staging(lambda stg: run_rules(stg, [rule_id], detected_at=DETECTED_AT).drop("detected_at"))
 
@@ -147,6 +158,52 @@ def _detail(stg: Staging) -> DataFrame:
     )
 
 
+def _scratch(spark: SparkSession) -> str:
+    """A new folder that all executors share; a temporary one where none is named, as in local runs."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="feeds-")
+    return f"{shared.rstrip('/')}/feeds-{uuid.uuid4().hex}"
+
+
+def _as_files(spark: SparkSession, stg: Staging, *names: str) -> str:
+    """Feeds as files in source order, CSV and JSON lines, each a folder of parts. Names of products have line breaks."""
+    folder = _scratch(spark)
+    for name in names or SOURCE_FILES:
+        rows = getattr(stg, name).orderBy(SOURCE_ROW).select(*RAW_COLUMNS[name])
+        if name == "products":
+            rows = rows.withColumn("product_name", F.replace("product_name", F.lit(" "), F.lit("\n")))
+        path = f"{folder}/{SOURCE_FILES[name]}"
+        rows.write.json(path) if ".json" in path else export_csv(rows, path)
+    return folder
+
+
+def _from_files(*names: str) -> Callable[[Callable[[dict[str, DataFrame]], DataFrame]], Query]:
+    """fn(tables read back from files)"""
+
+    def with_tables(fn: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            folder = _as_files(spark, fixtures.staging(spark, sf_dir), *names)
+            files = {n: f for n, f in SOURCE_FILES.items() if n in (names or SOURCE_FILES)}
+            return fn(read_sources(spark, folder, files))
+
+        return query
+
+    return with_tables
+
+
+def _exported(exceptions: DataFrame, _: DataFrame) -> DataFrame:
+    """The exception report as CSV files and read again."""
+    path = f"{_scratch(exceptions.sparkSession)}/exceptions"
+    export_csv(exceptions.drop("detected_at"), path)
+    columns = [f for f in exceptions.schema if f.name != "detected_at"]
+    return read_csv(exceptions.sparkSession, path, StructType(columns)).drop(SOURCE_ROW)
+
+
+def _landed(tables: dict[str, DataFrame]) -> Staging:
+    """The raw tables as the job lands them."""
+    spark = next(iter(tables.values())).sparkSession
+    return land(tables, _scratch(spark))
+
+
 def _raw_tables(stg: Staging) -> dict[str, DataFrame]:
     return {n: getattr(stg, n) for n in ("customers", "products", "orders", "payments", "support_tickets")}
 
@@ -162,6 +219,15 @@ def queries() -> dict[str, Query]:
         **_training_data_queries(),
         # sources and staging
         "ingest_row_counts": _on_staging(lambda stg: row_counts(_raw_tables(stg))),
+        "read_csv_products": _from_files("products")(lambda t: t["products"].drop(SOURCE_ROW)),
+        "read_jsonl_tickets": _from_files("support_tickets")(lambda t: t["support_tickets"].drop(SOURCE_ROW)),
+        "read_sources_row_counts": _from_files()(row_counts),
+        "dedup_exact_kept_from_files": _from_files("orders")(lambda t: dedup.exact_kept(t["orders"]).drop(SOURCE_ROW)),
+        "dedup_pk_winners_from_files": _from_files("customers")(
+            lambda t: dedup.key_winners(t["customers"], ["customer_id"]).drop(SOURCE_ROW)
+        ),
+        "exceptions_from_files": _from_files()(lambda t: _exceptions(_landed(t)).drop("detected_at")),
+        "export_csv_exceptions": _on_exceptions(_exported, "orders", "payments"),
         "customer_id_drift": _on_staging(lambda stg: drift(stg.customers, stg.support_tickets, "customer_id")),
         "stg_customers_duplicates": _on_staging(lambda stg: stg.customers_duplicates),
         "stg_orders_duplicates": _on_staging(lambda stg: stg.orders_duplicates),
@@ -198,6 +264,7 @@ def queries() -> dict[str, Query]:
         "dq008_order_total": _rule("DQ008"),
         "dq009_payment_order_fk": _rule("DQ009"),
         "dq010_payment_amount": _rule("DQ010"),
+        "dq010_disagreeing_totals": _on_staging(disagreeing_totals),
         "dq011_ticket_timestamp": _rule("DQ011"),
         "dq012_ticket_customer_fk": _rule("DQ012"),
         "exceptions_ranked": _on_exceptions(lambda ex, _: with_severity_rank(ex).drop("detected_at")),
@@ -216,7 +283,7 @@ def queries() -> dict[str, Query]:
             lambda stg: _flat(answers.q3_filtered_by_rule(_q3(stg), ["DQ006", "DQ010"]))
         ),
         "q3_distinct_rules": _on_staging(lambda stg: answers.q3_distinct_rules(_q3(stg))),
-        "q3_summary": _on_exceptions(lambda ex, _: answers.q3_summary(ex)),
+        "q3_summary": _on_counts(lambda n, _: answers.q3_summary(n)),
         "q4_revenue_by_state": _on_staging(lambda stg: answers.q4_revenue_by_state(curate.fact_order(stg))),
         "q5_sentiment_link": _on_staging(lambda stg: answers.q5_sentiment_link(_detail(stg))),
         "q5_per_customer_detail": _on_staging(_detail),
@@ -224,15 +291,15 @@ def queries() -> dict[str, Query]:
             lambda stg: answers.orders_missing_payment(curate.fact_order(stg), curate.fact_payment(stg))
         ),
         # report tables
-        "dq_summary": _on_exceptions(lambda ex, _: report.dq_summary(ex)),
-        "dq_by_severity": _on_exceptions(lambda ex, _: report.dq_by_severity(ex)),
-        "dq_by_rule": _on_exceptions(report.dq_by_rule),
-        "dq_by_rule_severity": _on_exceptions(lambda ex, _: report.dq_by_rule_severity(ex)),
+        "dq_summary": _on_counts(lambda n, _: report.dq_summary(n)),
+        "dq_by_severity": _on_counts(lambda n, _: report.dq_by_severity(n)),
+        "dq_by_rule": _on_counts(report.dq_by_rule),
+        "dq_by_rule_severity": _on_counts(lambda n, _: report.dq_by_rule_severity(n)),
         "dq_samples_per_rule": _on_exceptions(report.dq_samples_per_rule),
-        "rule_reference": _on_exceptions(report.rule_reference),
+        "rule_reference": _on_counts(report.rule_reference),
         "kpi_metrics": _on_staging(
             lambda stg: report.kpi_metrics(
-                curate.dim_customer(stg), curate.fact_order(stg), _exceptions(stg)
+                curate.dim_customer(stg), curate.fact_order(stg), report.exception_counts(_exceptions(stg))
             ).drop("last_run")
         ),
         "curated_row_counts": _on_staging(

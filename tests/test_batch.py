@@ -17,13 +17,15 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
-from tidyledger import fixtures
+from tidyledger import batch, fixtures, runs
 from tidyledger.batch import run
+from tidyledger.operators import dedup
 from tidyledger.plans.curate import BUILDERS
 from tidyledger.rules.run import run_rules
+from tidyledger.rules.staging import Staging
 from tidyledger.schemas import CURATED, RAW_COLUMNS, raw_struct, struct_of
 from tidyledger.sinks import export_csv, write_table
-from tidyledger.sources.raw import SOURCE_FILES, read_csv, read_jsonl, row_counts
+from tidyledger.sources.raw import SOURCE_FILES, read_csv, read_jsonl, read_sources, row_counts
 
 FAILED_READ = (PySparkException, Py4JJavaError)
 PRODUCTS = raw_struct("products")
@@ -48,10 +50,71 @@ def test_csv_with_too_many_cells_or_another_header_fails(spark, tmp_path):
         read_csv(spark, put(tmp_path / "head.csv", "id,product_name,category,unit_price,active_flag\nP1,a,b,1,Y\n"), PRODUCTS).collect()
 
 
+BROKEN = f'{HEADER}\nP1,"two\nlines",c,1.00,Y\nP2,d,"e, ""f""\r\n\n",2,N\n'
+
+
 def test_csv_cells_with_line_breaks(spark, tmp_path):
-    path = put(tmp_path / "m.csv", f'{HEADER}\nP1,"a\nb",c,1,Y\nP2,d,e,2,N\n')
-    rows = read_csv(spark, path, PRODUCTS, multi_line=True).orderBy("source_row").collect()
-    assert [(r.product_id, r.product_name) for r in rows] == [("P1", "a\nb"), ("P2", "d")]
+    path = put(tmp_path / "m.csv", BROKEN)
+    for multi_line in (None, True):
+        rows = read_csv(spark, path, PRODUCTS, multi_line).orderBy("source_row").collect()
+        assert [(r.product_id, r.product_name, r.unit_price) for r in rows] == [("P1", "two\nlines", "1.00"), ("P2", "d", "2")]
+    with pytest.raises(ValueError, match="unbalanced quote in .*m.csv"):
+        read_csv(spark, path, PRODUCTS, multi_line=False)
+
+
+def test_only_files_with_line_breaks_are_read_whole(spark, tmp_path):
+    folder = tmp_path / "a folder {1,2}"
+    folder.mkdir()
+    put(folder / "a.csv", HEADER + "\n" + "".join(f"A{i:05d},n,c,1,Y\n" for i in range(3000)))
+    put(folder / "b [x] 50%.csv", BROKEN)
+    put(folder / "c.csv", HEADER + "\n" + "".join(f'C{i:05d},"n",c,1,Y\n' for i in range(3000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        df = read_csv(spark, str(folder).replace("{", "\\{").replace("}", "\\}").replace(",", "\\,"), PRODUCTS)
+        assert df.rdd.getNumPartitions() > 5
+        rows = df.orderBy("source_row").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = [f"A{i:05d}" for i in range(3000)] + ["P1", "P2"] + [f"C{i:05d}" for i in range(3000)]
+    assert [r.product_id for r in rows] == want and len({r.source_row for r in rows}) == len(want)
+    assert rows[3000].product_name == "two\nlines"
+
+
+def test_sources_with_line_breaks(spark, tmp_path):
+    stg = staging(spark)
+    for name, columns in RAW_COLUMNS.items():
+        row = getattr(stg, name).select(*columns).first().asDict()
+        if name == "support_tickets":
+            put(tmp_path / SOURCE_FILES[name], json.dumps(row) + "\n")
+        else:
+            row |= {"product_name": "two\nlines"} if name == "products" else {}
+            with open(tmp_path / SOURCE_FILES[name], "w", newline="") as f:
+                csv.writer(f).writerows([columns, [row[c] for c in columns]])
+    tables = read_sources(spark, str(tmp_path))
+    assert [r.product_name for r in tables["products"].collect()] == ["two\nlines"]
+    assert {r.table_name: r.row_count for r in row_counts(tables).collect()} == dict.fromkeys(RAW_COLUMNS, 1)
+    with pytest.raises(ValueError, match="unbalanced"):
+        read_sources(spark, str(tmp_path), multi_line=False)
+
+
+def test_first_rows_over_csv_need_no_sort_and_shuffle_no_path(spark, tmp_path):
+    folder = tmp_path / "orders"
+    folder.mkdir()
+    line = "O{},C1,2025-03-01 10:00,P1,2,completed,IL,20.00\n"
+    for part in range(3):
+        put(folder / f"{part}.csv", ",".join(RAW_COLUMNS["orders"]) + "\n" + "".join(line.format(i // 2) for i in range(50)))
+    orders = read_csv(spark, str(folder), raw_struct("orders"))
+    assert dict(orders.dtypes)["source_row"] == "bigint"
+    stg = Staging({"orders": orders})
+    for df in (dedup.exact_kept(orders), stg.order_contents, dedup.key_losers(orders, ["order_id"]), dedup.exact_dropped(orders)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan and "SortAggregate" not in plan, plan  # a sort for a join comes after it
+        assert not [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "_path" in x]
+    kept = dedup.exact_kept(orders).orderBy("source_row").collect()
+    assert [r.order_id for r in kept] == [f"O{i}" for i in range(25)]
+    first = orders.orderBy("source_row").select("source_row", "order_id").collect()
+    assert [r.source_row for r in kept] == [r.source_row for r in first[:50:2]]
 
 
 def test_jsonl(spark, tmp_path):
@@ -287,3 +350,36 @@ def test_extract_findings(extract):
         "q5": "Among 1 customers with negative support tickets, 100.0% of their orders triggered exceptions, versus 50.0% for "
               "customers without negative tickets.",
     }
+
+
+def test_a_run_that_fails_leaves_the_tables_before_it(spark, tmp_path, monkeypatch):
+    feed, out = tmp_path / "feed", str(tmp_path / "out")
+    feed.mkdir()
+    for name, text in EXTRACT.items():
+        put(feed / SOURCE_FILES[name], text)
+    with pytest.raises(FileNotFoundError):
+        runs.current(spark, out)
+    run(spark, str(feed), out, detected_at=MOMENT)
+    first = runs.current(spark, out)
+    before = {n: Counter(map(str, df.collect())) for n, df in runs.open_tables(spark, out).items()}
+    assert {"fact_order", "dq_exception_report", "q1_revenue_by_month", "findings", "exception_counts"} <= before.keys()
+
+    put(feed / SOURCE_FILES["orders"], EXTRACT["orders"] + "R9,A1,2025-02-06,X1,4,completed,OH,50.00\n")
+    with monkeypatch.context() as m:
+        m.setattr(batch, "findings", lambda written: written["q2_top_customers"].select(F.raise_error(F.lit("stop"))))
+        with pytest.raises(FAILED_READ, match="stop"):
+            run(spark, str(feed), out, detected_at=MOMENT)
+    assert runs.current(spark, out) == first
+    assert before == {n: Counter(map(str, df.collect())) for n, df in runs.open_tables(spark, out).items()}
+
+    run(spark, str(feed), out, detected_at=MOMENT, keep=1)
+    after = runs.open_tables(spark, out)
+    assert runs.current(spark, out) != first and after["fact_order"].count() == 8
+    assert not (tmp_path / "out" / "runs" / first.name).exists() and len(list((tmp_path / "out" / "manifests").glob("*.json"))) == 1
+
+
+def test_the_report_is_counted_once_for_all_count_tables(job):
+    _, _, tables = job
+    counts, report = tables["exception_counts"], tables["dq_exception_report"]
+    assert counts.agg(F.sum("n")).first()[0] == report.count() == tables["dq_summary"].first().total_exceptions
+    assert counts.count() == report.select("dataset", "rule_id", "severity").distinct().count()

@@ -46,14 +46,17 @@ def test_samples_are_the_newest_of_each_rule(spark, exceptions):
 
 
 def test_summary_counts(exceptions):
-    assert tuple(report.dq_summary(exceptions).first()) == (11, 4, 9, 1)
-    assert tuple(report.dq_summary(exceptions.limit(0)).first()) == (0, 0, 0, 0)
+    counts = report.exception_counts(exceptions)
+    assert tuple(report.dq_summary(counts).first()) == (11, 4, 9, 1)
+    assert tuple(report.dq_summary(report.exception_counts(exceptions.limit(0))).first()) == (0, 0, 0, 0)
+    assert [tuple(r) for r in report.dq_by_severity(counts).collect()] == [("High", 9), ("Medium", 1), ("Odd", 1)]
+    assert [tuple(r) for r in report.dq_by_rule_severity(counts).collect()][:2] == [("DQ004", "High", 2), ("DQ005", "High", 7)]
 
 
 def test_kpis_on_empty_tables(spark, exceptions):
     customers = spark.createDataFrame([], "customer_key string")
     orders = spark.createDataFrame([], "order_status string, gross_order_amount decimal(12,2)")
-    row = report.kpi_metrics(customers, orders, exceptions).first()
+    row = report.kpi_metrics(customers, orders, report.exception_counts(exceptions)).first()
     assert (row.total_customers, row.completed_revenue, row.total_exceptions, row.last_run) == (0, 0, 11, datetime(2025, 6, 7))
 
 

@@ -105,11 +105,9 @@ def q3_distinct_rules(q3: DataFrame) -> DataFrame:
     return side_by_side(lines, rules)
 
 
-def q3_summary(exceptions: DataFrame) -> DataFrame:
-    """Exceptions per rule on orders and payments, with a ``total`` row."""
-    per_rule = (
-        exceptions.filter(F.col("dataset").isin("orders", "payments")).groupBy("rule_id").agg(F.count(F.lit(1)).alias("n"))
-    )
+def q3_summary(counts: DataFrame) -> DataFrame:
+    """Exceptions per rule on orders and payments, with a ``total`` row, from ``report.exception_counts``."""
+    per_rule = counts.filter(F.col("dataset").isin("orders", "payments"))
     return per_rule.rollup("rule_id").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(
         F.coalesce("rule_id", F.lit("total")).alias("rule_id"), "n"
     )

@@ -7,7 +7,7 @@ from collections.abc import Collection, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidyledger.functions import numbers
+from tidyledger.functions import numbers, wide
 from tidyledger.functions.numbers import to_decimal
 from tidyledger.functions.text import table_cell
 from tidyledger.operators.rows import first_per_group
@@ -24,39 +24,49 @@ def _rows() -> Column:
     return F.count(F.lit(1))
 
 
-def dq_summary(exceptions: DataFrame) -> DataFrame:
-    return exceptions.agg(
-        _rows().alias("total_exceptions"),
-        F.count_distinct("rule_id").alias("unique_rules"),
-        F.count_if(F.col("severity") == "High").alias("high"),
-        F.count_if(F.col("severity") == "Medium").alias("medium"),
+def exception_counts(exceptions: DataFrame) -> DataFrame:
+    """The report counted once, by dataset, rule and severity: what every count of it is a sum of.
+
+    At most a few rows a rule. A job that writes this table reads the report once for all of its count tables.
+    """
+    return exceptions.groupBy("dataset", "rule_id", "severity").agg(_rows().alias("n"), F.max("detected_at").alias("detected_at"))
+
+
+def _n() -> Column:
+    return F.coalesce(F.sum("n"), F.lit(0))
+
+
+def dq_summary(counts: DataFrame) -> DataFrame:
+    of = lambda severity: F.coalesce(F.sum(F.when(F.col("severity") == severity, F.col("n"))), F.lit(0))
+    return counts.agg(
+        _n().alias("total_exceptions"), F.count_distinct("rule_id").alias("unique_rules"), of("High").alias("high"), of("Medium").alias("medium")
     )
 
 
-def dq_by_severity(exceptions: DataFrame) -> DataFrame:
-    return exceptions.groupBy("severity").agg(_rows().alias("n")).orderBy("severity")
+def dq_by_severity(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("severity").agg(_n().alias("n")).orderBy("severity")
 
 
-def dq_by_rule_severity(exceptions: DataFrame) -> DataFrame:
-    return exceptions.groupBy("rule_id", "severity").agg(_rows().alias("n")).orderBy("rule_id", "severity")
+def dq_by_rule_severity(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("rule_id", "severity").agg(_n().alias("n")).orderBy("rule_id", "severity")
 
 
-def dq_by_rule(exceptions: DataFrame, rules: DataFrame) -> DataFrame:
-    """Violations of each triggered rule with its description. Counts first, so the join is of a few rows."""
-    counts = exceptions.groupBy("rule_id").agg(_rows().alias("violations"))
+def dq_by_rule(counts: DataFrame, rules: DataFrame) -> DataFrame:
+    """Violations of each triggered rule with its description."""
+    per_rule = counts.groupBy("rule_id").agg(_n().alias("violations"))
     described = rules.select("rule_id", "description", "severity")
     return (
-        described.join(counts, "rule_id")
+        described.join(per_rule, "rule_id")
         .select("rule_id", F.replace("description", F.lit("|"), F.lit("\\|")).alias("description"), "severity", "violations")
         .orderBy("rule_id")
     )
 
 
-def rule_reference(exceptions: DataFrame, rules: DataFrame) -> DataFrame:
+def rule_reference(counts: DataFrame, rules: DataFrame) -> DataFrame:
     """Every rule with how often it fired, also when it never did."""
-    counts = exceptions.groupBy("rule_id").agg(_rows().alias("violations"))
+    per_rule = counts.groupBy("rule_id").agg(_n().alias("violations"))
     return (
-        rules.join(counts, "rule_id", "left")
+        rules.join(per_rule, "rule_id", "left")
         .select("rule_id", "dataset", "description", "severity", "suggested_action", F.coalesce("violations", F.lit(0)).alias("violations"))
         .orderBy("rule_id")
     )
@@ -108,12 +118,12 @@ def preview(df: DataFrame, n: int = 100) -> DataFrame:
     return df.limit(n)
 
 
-def kpi_metrics(dim_customer: DataFrame, fact_order: DataFrame, exceptions: DataFrame) -> DataFrame:
+def kpi_metrics(dim_customer: DataFrame, fact_order: DataFrame, counts: DataFrame) -> DataFrame:
     revenue = F.coalesce(F.round(F.sum("gross_order_amount"), 2), F.lit(0)).cast(AMOUNT)
     return side_by_side(
         dim_customer.agg(_rows().alias("total_customers")),
         fact_order.filter(F.col("order_status") == "completed").agg(revenue.alias("completed_revenue")),
-        exceptions.agg(_rows().alias("total_exceptions"), F.max("detected_at").alias("last_run")),
+        counts.agg(_n().alias("total_exceptions"), F.max("detected_at").alias("last_run")),
     )
 
 
@@ -145,38 +155,39 @@ def numbers_not_held(stg: Staging) -> DataFrame:
     Such a value is NULL (or rounded) there and no violation of a rule; here it is a row, so nothing is lost unseen.
     """
 
-    def of(df: DataFrame, dataset: str, key: str, column: str, problem: Column) -> DataFrame:
-        return df.select(
-            F.lit(dataset).alias("dataset"), F.col(key).alias("record_key"), F.lit(column).alias("column_name"),
-            F.col(column).alias("raw"), problem.alias("problem"),
+    def found(df: DataFrame, dataset: str, key: str, cells: dict[str, tuple[Column, Column]]) -> DataFrame:
+        """One pass over a table: its columns with their text and problem."""
+        told = F.array(
+            *[F.struct(F.lit(n).alias("column_name"), raw.alias("raw"), problem.alias("problem")) for n, (raw, problem) in cells.items()]
         )
+        rows = df.select(F.lit(dataset).alias("dataset"), F.col(key).alias("record_key"), F.inline(told))
+        return rows.filter(F.col("problem").isNotNull())
 
+    def amount(name: str) -> tuple[Column, Column]:
+        return F.col(name), numbers.amount_problem(F.col(name))
+
+    def computed(limbs: Column) -> tuple[Column, Column]:
+        large = limbs.isNotNull() & wide.cents(limbs, numbers.MONEY).isNull()
+        return wide.text(limbs, F.lit(wide.DECIMALS)), F.when(large, F.lit("too large for the curated table"))
+
+    quantity = F.col("quantity")
     priced = stg.orders.select("order_id", "product_id", "quantity", "order_total").join(
         prices(stg.products).select("product_id", "unit_price"), "product_id", "left"
     )
-    calculated = numbers.times(numbers.to_whole(F.col("quantity")), to_decimal(F.col("unit_price")))
-    computed = priced.select(
-        "order_id", calculated.alias("calculated"), (to_decimal(F.col("order_total")) - calculated).alias("variance")
+    product = wide.times(F.coalesce(numbers.to_whole(quantity), numbers.large_whole(quantity)), numbers.limbs(F.col("unit_price")))
+    variance = wide.minus(numbers.limbs(F.col("order_total")), F.col("product"))
+    orders = priced.withColumn("product", product).withColumn("variance", variance)
+    return (
+        found(orders, "orders", "order_id", {
+            "quantity": (quantity, numbers.quantity_problem(quantity)),
+            "order_total": amount("order_total"),
+            "calculated_order_amount": computed(F.col("product")),
+            "order_amount_variance": computed(F.col("variance")),
+        })
+        .unionByName(found(stg.products, "products", "product_id", {"unit_price": amount("unit_price")}))
+        .unionByName(found(stg.payments, "payments", "payment_id", {"amount": amount("amount")}))
     )
 
-    def too_large(name: str, column: str) -> DataFrame:
-        large = F.when(F.col(name).isNotNull() & numbers.to_money(F.col(name)).isNull(), F.lit("too large for the curated table"))
-        text = computed.withColumn(column, numbers.as_written(F.col(name), F.lit(8)))
-        return of(text, "orders", "order_id", column, large)
-
-    found = [
-        of(stg.orders, "orders", "order_id", "quantity", numbers.quantity_problem(F.col("quantity"))),
-        of(stg.orders, "orders", "order_id", "order_total", numbers.amount_problem(F.col("order_total"))),
-        too_large("calculated", "calculated_order_amount"),
-        too_large("variance", "order_amount_variance"),
-        of(stg.products, "products", "product_id", "unit_price", numbers.amount_problem(F.col("unit_price"))),
-        of(stg.payments, "payments", "payment_id", "amount", numbers.amount_problem(F.col("amount"))),
-    ]
-    out = found[0]
-    for df in found[1:]:
-        out = out.unionByName(df)
-    return out.filter(F.col("problem").isNotNull())
-
 
 def reconcile_totals(stg: Staging, fact_order: DataFrame, fact_payment: DataFrame) -> DataFrame:
     """Completed and settled money in the curated tables against sums taken straight from the raw text."""
