@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidyledger.llm import decontaminate, langid, mixing, ngram_join, sharding
-from tidyledger.llm.runtime import checkpoint_folder, cut, small
+from tidyledger.llm.runtime import checkpoint_folder, cut, small, unused
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,20 +28,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     id. Of rows that agree in id and text, one stays.
     """
     key = F.struct(F.col("doc_id").isNull().alias("late"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text").alias("hash"))
-    keyed = docs.withColumn("_key", key)
-    found = cut(ngram_join.near_duplicates(keyed, id_col="_key").select("_key", "component_id"))
-    gone = small(cut(found.filter("_key <> component_id").select("_key").distinct()))
-    kept = keyed.join(gone, "_key", "left_anti")
-    if found.groupBy("_key").count().filter("count > 1").limit(1).count():
-        kept = kept.dropDuplicates(["_key"])
-    return kept.select(*docs.columns)
+    name = unused(docs, "_key")
+    keyed = docs.withColumn(name, key)
+    slim = keyed.select(F.col(name).alias("key"), "text")  # whatever else the columns are called
+    found = cut(ngram_join.near_duplicates(slim, id_col="key").select("key", "component_id"))
+    gone = small(cut(found.filter("key <> component_id").select(F.col("key").alias(name)).distinct()))
+    kept = keyed.join(gone, name, "left_anti")
+    if found.groupBy("key").count().filter("count > 1").limit(1).count():
+        kept = kept.dropDuplicates([name])
+    return kept.drop(name)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go, told apart by id and text: also without an id, and no others of the same id."""
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    clean = decontaminate.clean(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_row")
-    return clean.select(*docs.columns)
+    name = unused(docs, "_row")
+    keyed = docs.withColumn(name, F.xxhash64("doc_id", "text"))
+    return decontaminate.clean(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=name).drop(name)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
