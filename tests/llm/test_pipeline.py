@@ -44,7 +44,7 @@ def test_stages_on_documents(spark):
     assert leaked and clean.columns == docs.columns and {r.doc_id for r in clean.collect()} == stay - leaked
 
     mixture = stage["mixing"](spark, clean, SMALL)
-    want = Counter({r.doc_id: r._copies for r in mixed(clean).collect() if r._copies})
+    want = Counter({r.row.doc_id: r.copies for r in mixed(clean).collect() if r.copies})
     assert mixture.columns == docs.columns and Counter(r.doc_id for r in mixture.collect()) == want
 
     placed = stage["sharding"](spark, mixture, SMALL)

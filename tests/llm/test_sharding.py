@@ -73,3 +73,11 @@ def test_written_shards_hold_every_row_once(spark, tmp_path):
     write_shards(docs, str(tmp_path / "out"), files_per_shard=2)
     back = spark.read.parquet(str(tmp_path / "out"))
     assert sorted(r.doc_id for r in back.collect()) == sorted(r.doc_id for r in docs.collect())
+
+
+def test_any_column_names(spark):
+    docs = spark.createDataFrame([(i, "t", 1, 2, 3, 4) for i in range(50)], ["doc_id", "text", "_slot", "_shard", "a.b", "row"])
+    rows = shard(docs)
+    assert rows.columns == [*docs.columns, "slot", "shard"] and {tuple(r)[2:6] for r in rows.collect()} == {(1, 2, 3, 4)}
+    plain = {r.doc_id: r.shard for r in shard(docs.select("doc_id", "text")).collect()}
+    assert {r.doc_id: r.shard for r in rows.collect()} == plain

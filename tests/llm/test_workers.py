@@ -1,0 +1,37 @@
+"""Every operator that runs Python in tasks works where only the driver has this package."""
+
+from __future__ import annotations
+
+import os
+import subprocess
+import sys
+
+from conftest import ROOT
+
+SCRIPT = """
+import sys
+sys.path.insert(0, sys.argv[1])  # the driver's own path; workers do not get it
+from tidyledger.session import local_session
+from tidyledger.llm.queries import QUERIES
+
+def hidden(_):
+    import importlib.util
+    yield importlib.util.find_spec("tidyledger") is None
+
+spark = local_session(4, memory="4g")
+assert spark.sparkContext.parallelize([0], 1).mapPartitions(hidden).collect() == [True]
+for name in sys.argv[2:]:
+    assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0, name
+print("all ran")
+"""
+
+NAMES = (
+    "op4_decontamination", "op5_ngram_join", "op6_nearest_neighbours", "op7_chat_formatting", "op8_quality", "op9_toxicity",
+    "op10_language_id", "op11_lexical_search", "op12_byte_bpe", "op13_collocations",
+)
+
+
+def test_workers_need_no_package(tmp_path):
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", SCRIPT, ROOT, *NAMES], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=900)
+    assert "all ran" in done.stdout, done.stderr[-3000:]

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidyledger.llm.runtime import cut, small
+from tidyledger.llm.runtime import cut, share, small
 
 TABLES = 16
 PROBES = 5
@@ -80,10 +80,11 @@ def _search(rows: DataFrame, ids: np.ndarray, vectors: np.ndarray, k: int, table
     """Each task's nearest ``k`` candidates for every query of a block; without ``probes`` all axes are probed."""
     rotations = Rotations(vectors.shape[1], tables)
     probed = [np.argsort(-rotations.nearness(vectors, t), axis=1, kind="stable")[:, :probes] for t in range(tables)]
-    shared = rows.sparkSession.sparkContext.broadcast((rotations, ids, vectors, probed))
+    turned = share(rows.sparkSession, rotations)
+    shared = rows.sparkSession.sparkContext.broadcast((ids, vectors, probed))
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rotations, ids, queries, probed = shared.value
+        rotations, (ids, queries, probed) = turned(), shared.value
         best: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0))] * len(ids)
         for whole in batches:
             for at in range(0, len(whole), 4096):

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidyledger.llm.grams import K, Words
-from tidyledger.llm.runtime import cut, small
+from tidyledger.llm.runtime import cut, share, small
 
 PERCENT = 80
 #: Bytes of item texts in a block; with hashes and Python objects a block takes about thirty times that.
@@ -105,10 +105,10 @@ def leaks(
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, n_item bigint, n_shared bigint"
     parts = []
     for block in _blocks(items, item_col, item_text_col, block_bytes):
-        shared = spark.sparkContext.broadcast(Items([b[0] for b in block], [b[1] for b in block], k, percent))
+        shared = share(spark, Items([b[0] for b in block], [b[1] for b in block], k, percent))
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            known, words = shared.value, Words(k)
+            known, words = shared(), Words(k)
             item_type = pa.array(known.ids).type if known.ids else pa.int64()
             low = max((x[0] for x in known.index), default=np.uint64(0))
             union = np.unique(np.concatenate([x[1] for x in known.index])) if known.index else np.zeros(0, np.uint64)

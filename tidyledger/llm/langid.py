@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidyledger.llm.grams import chunks
-from tidyledger.llm.runtime import cut, small
+from tidyledger.llm.runtime import cut, small, unused
 
 BUCKETS = 1 << 16
 LANGUAGES = 256
@@ -220,7 +220,8 @@ def document_evidence(docs: DataFrame, text_col: str = "text", source_col: str =
 def accepted(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """The rows of ``docs`` (with the columns of documents) that language ID accepts; fits the model on them if none is given."""
     model = model or fit(docs)
-    key = F.xxhash64("doc_id", "text", "source")
-    evidence = document_evidence(docs.withColumn("_row", key).withColumn("doc_id", F.col("_row")))
-    rejected = small(cut(identify(evidence, model).filter(~F.col("accepted")).select(F.col("doc_id").alias("_row")).distinct()))
-    return docs.withColumn("_row", key).join(rejected, "_row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    name = unused(docs, "_row")
+    keyed = docs.withColumn(name, F.xxhash64("doc_id", "text", "source"))
+    evidence = document_evidence(keyed.select(F.col(name).alias("doc_id"), "text", "source"))
+    rejected = small(cut(identify(evidence, model).filter(~F.col("accepted")).select(F.col("doc_id").alias(name)).distinct()))
+    return keyed.join(rejected, name, "left_anti").drop(name)

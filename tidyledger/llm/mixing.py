@@ -16,15 +16,16 @@ MOST = 2
 SEED = "mix"
 
 
-def words(text: str = "text") -> Column:
+def words(text: Column) -> Column:
     """The number of runs of bytes other than space and \\t \\n \\v \\f \\r; 0 for NULL."""
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint")
 
 
-def draw(id_col: str, seed: str = SEED) -> Column:
-    """A number in [0, 1) that depends on the id (NULL counts as '') and the seed alone: 52 bits of their MD5."""
-    key = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))
-    return F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("bigint") / F.lit(float(1 << 52))
+def draw(id_col: str, text_col: str, seed: str = SEED) -> Column:
+    """A number in [0, 1) that depends on the id and the seed alone: 52 bits of their MD5. A row without an id goes by its
+    text, so that such rows are drawn apart; without both, by ''."""
+    own = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text:"), F.md5(F.col(text_col).cast("binary"))), F.lit(""))
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), own)), 1, 13), 16, 10).cast("bigint") / F.lit(float(1 << 52))
 
 
 def _numbered(sources: DataFrame) -> DataFrame:
@@ -56,7 +57,7 @@ def targets(
     rows = cut(_numbered(sizes).select("source", "source_size", weight.alias("weight")))
     limit = F.col("source_size") * F.lit(float(most))
     per_weight, capped = None, F.lit(False)
-    for _ in range(10_000):  # each round caps at least one more source
+    while True:  # each round caps at least one more source, so it ends
         free = F.when(~capped, F.col("weight"))
         total, stuck, left = rows.agg(
             F.sum("source_size"), F.sum(F.when(capped, limit)), F.sum(free)
@@ -82,27 +83,27 @@ def mixed(
     most: float = MOST,
     seed: str = SEED,
 ) -> DataFrame:
-    """Every row of ``docs`` with _size, _source_size, _target and _copies.
+    """(row, size, source_size, target, copies): every row of ``docs`` as a struct, whatever its columns are called.
 
-    _copies is floor(rate) plus one if the row's draw falls below the rate's fraction, so it is never above ``most``
-    where that is whole, and reruns agree. Rows with equal ids get equal copies. A NULL or empty text has size 0; a NULL
-    source is a source of its own, after all others. An empty table gives an empty result. Extra columns are kept.
+    copies is floor(rate) plus one if the row's draw falls below the rate's fraction, so it is never above ``most``
+    where that is whole, and reruns agree. Rows with equal ids get equal copies, and so do rows without an id that have equal
+    texts. A NULL or empty text has size 0; a NULL source is a source of its own, after all others. An empty table gives
+    an empty result.
     """
-    sized = docs.withColumn("_size", words(text_col))
-    sums = sized.groupBy(F.col(source_col).alias("source")).agg(F.sum("_size").alias("source_size"))
-    plan = targets(sums, weights, share, most).select(
-        F.col("source").alias("_source"), F.col("source_size").alias("_source_size"),
-        F.col("target").alias("_target"), F.col("rate").alias("_rate"),
+    name = lambda c: F.col(f"`{c}`")
+    sized = docs.select(
+        F.struct(*map(name, docs.columns)).alias("row"), name(id_col).alias("id"), name(text_col).alias("text"),
+        name(source_col).alias("of"), words(name(text_col)).alias("size"),
     )
-    plan = small(cut(plan))
-    rows = sized.join(plan, sized[source_col].eqNullSafe(plan["_source"]))
-    whole = F.floor("_rate")
-    copies = whole + (draw(id_col, seed) < F.col("_rate") - whole).cast("bigint")
-    return rows.withColumn("_copies", copies).drop("_rate", "_source")
+    sums = sized.groupBy(F.col("of").alias("source")).agg(F.sum("size").alias("source_size"))
+    plan = small(cut(targets(sums, weights, share, most)))
+    rows = sized.join(plan, F.col("of").eqNullSafe(F.col("source")))
+    whole = F.floor("rate")
+    copies = whole + (draw("id", "text", seed) < F.col("rate") - whole).cast("bigint")
+    return rows.select("row", "size", "source_size", "target", copies.alias("copies"))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus: the rows of ``docs``, each as often as ``mixed`` says. Columns as in ``docs``."""
-    rows = mixed(docs, **options).filter("_copies > 0")
-    again = F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))
-    return rows.withColumn("_copy", F.explode(again)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = mixed(docs, **options).filter("copies > 0")
+    return rows.select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).select("row.*")

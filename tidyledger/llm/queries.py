@@ -30,10 +30,7 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size, its source's size and target, and the words taken, of every document."""
     rows = mixing.mixed(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    return rows.select(
-        "doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
-        (F.col("_size") * F.col("_copies")).alias("taken"),
-    )
+    return rows.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

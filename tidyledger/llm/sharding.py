@@ -64,11 +64,10 @@ def shard(
     Equal ids go to one shard, repeated rows too. A NULL or empty text is no special case. An empty table gives an
     empty result.
     """
-    rows = docs.drop(slot_as, shard_as).withColumn("_slot", slot(id_col, text_col, slots))
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in (slot_as, shard_as)]
+    rows = docs.select(F.struct(*kept).alias("row"), slot(f"`{id_col}`", text_col and f"`{text_col}`", slots).alias("_slot"))
     table = F.broadcast(lookup_table(docs.sparkSession, shard_names(shards), slots))
-    return rows.join(table, "_slot", "left").withColumnsRenamed({"_slot": slot_as, "_shard": shard_as}).select(
-        *[c for c in docs.columns if c not in (slot_as, shard_as)], slot_as, shard_as
-    )
+    return rows.join(table, "_slot", "left").select("row.*", F.col("_slot").alias(slot_as), F.col("_shard").alias(shard_as))
 
 
 def write_shards(docs: DataFrame, path: str, files_per_shard: int = 1, shard_as: str = "shard", **options) -> None:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tidyledger.llm.grams import chunks
 from tidyledger.llm.labelled import held_out, training_labels
-from tidyledger.llm.runtime import cut, small
+from tidyledger.llm.runtime import cut, share, small
 
 FOLDS, FOLD = 3, 1
 THRESHOLD = 0.7
@@ -271,10 +271,10 @@ def learn_terms(texts: DataFrame, known: Sequence[str] = LEXICON, support: int =
 
 def hits(docs: DataFrame, automaton: Automaton, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, hits): the different (term, edits, quoted) of every row with how often, at most OFTEN; empty for no text."""
-    shared = docs.sparkSession.sparkContext.broadcast(automaton)
+    shared = share(docs.sparkSession, automaton)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(shared.value)
+        matcher = Matcher(shared())
         kind = pa.list_(pa.struct([("term", pa.int32()), ("edits", pa.int32()), ("quoted", pa.bool_()), ("times", pa.int32())]))
         for batch in batches:
             own: list[Counter] = [Counter() for _ in range(len(batch))]
