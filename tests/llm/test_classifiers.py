@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_tables import SMALL, documents  # noqa: F401
 
@@ -107,3 +108,41 @@ def test_bradley_terry_ranks_good_before_bad():
     model = quality.learn(x, label)
     score = 1 / (1 + np.exp(-(x @ model.weights + model.bias)))
     assert ((score >= 0.7) == label).mean() > 0.97
+
+
+def test_quality_learns_from_all_labelled_rows_and_pairs(spark):
+    rng, n = np.random.default_rng(3), 30_000
+    x = rng.random((n, len(quality.FEATURES))) * np.r_[1e-3, 5.0, np.ones(len(quality.FEATURES) - 2)]
+    x[:2000] = x[rng.integers(2000, 2020, 2000)]  # copies: equal scores
+    x[:, 7] = 0.3
+    label = (x[:, 2] + x[:, 3] - x[:, 4] + rng.normal(0, 0.3, n) > -0.4).astype(np.int32)
+    ids = np.arange(n)
+    featured = spark.createDataFrame(pa.table({"doc_id": ids, "x": list(x)})).repartition(7)
+    labels = spark.createDataFrame(pa.table({"doc_id": ids, "quality": label})).repartition(3)
+    model = quality.fit(featured, labels)
+    known = np.array([zlib.crc32(str(i).encode()) % 4 != 2 for i in ids])
+    x, label = x[known], label[known]
+    assert len(x) > 22_000 and 500 < (label == 0).sum() < 2_000
+    # the loss over all pairs is least at the weights: its gradient is zero
+    spread = np.where(x.std(0) > 1e-9, x.std(0), np.inf)
+    z = (x - x.mean(0)) / spread
+    w = model.weights * np.where(np.isfinite(spread), spread, 0)
+    good, bad = z[label == 1], z[label == 0]
+    gradient = np.zeros(len(w))
+    for b in bad:
+        lose = 1 / (1 + np.exp((good - b) @ w))
+        gradient += lose @ good - lose.sum() * b
+    gradient = gradient / len(good) / len(bad) - 1e-3 * w
+    assert np.abs(gradient).max() < 1e-5
+    # no cut has fewer errors over all rows, and the lowest of those that have as few is taken
+    score = x @ model.weights
+    above = np.searchsorted(np.sort(score[label == 0]), cuts := (np.unique(score)[1:] + np.unique(score)[:-1]) / 2)
+    wrong = (label == 0).sum() - above + np.searchsorted(np.sort(score[label == 1]), cuts)
+    assert np.log(0.7 / 0.3) - model.bias == pytest.approx(cuts[wrong.argmin()])
+
+
+def test_cuts_beyond_all_scores():
+    assert quality.best_cut([(2.0, 3, 1, 2.0, 2.5), (4.0, 1, 1, 4.0, None)]) == 1.0  # all good
+    assert quality.best_cut([(2.0, -3, -3, 2.5, None), (4.0, -1, -1, 4.0, None)]) == 5.0  # all bad
+    assert quality.best_cut([(2.0, -1, -2, 2.0, 2.5), (4.0, -1, -1, 4.0, None)]) == 2.25  # as few errors as above all: the lowest
+    assert quality.best_cut([(2.0, -3, -3, 2.5, None), (4.0, 1, 1, 4.0, None)]) == 3.25
